@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from patio.workload import job_queries, report_queries
+from patio.workload import expression_queries, job_queries, operator_queries, report_queries
 from patio.workload.domain import Domain
 from patio.workload.entry import Entry
 
 
 def entries() -> dict[str, Entry]:
-    return {**report_queries.QUERIES, **job_queries.QUERIES}
+    parts = (report_queries, job_queries, expression_queries, operator_queries)
+    return {key: entry for part in parts for key, entry in part.QUERIES.items()}
 
 
 def _bound(entry: Entry) -> Callable[[SparkSession, str], DataFrame]:
