@@ -24,13 +24,18 @@ MONTHS = (
 )
 
 
+SLASHED = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
+
+
 def parse_date(text: Column) -> Column:
-    """Day/month/year, then ISO with time, then whatever casts to a date."""
+    """Day/month/year, or ISO with or without a time of day.
+
+    The pattern decides which parser runs: a parser that meets a foreign format raises and
+    catches an error for every row.
+    """
     bare = F.trim(text)
-    return F.coalesce(
-        F.try_to_date(bare, "d/M/yyyy"),
-        F.try_to_date(bare, "yyyy-MM-dd HH:mm:ss"),
-        bare.try_cast("date"),
+    return F.when(bare.rlike(SLASHED), F.try_to_date(bare, "d/M/yyyy")).otherwise(
+        bare.try_cast("timestamp_ntz").cast("date")
     )
 
 

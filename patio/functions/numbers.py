@@ -66,9 +66,15 @@ def percent_of(part: Column, whole: Column) -> Column:
     return F.coalesce(share, F.lit(0)).cast("decimal(26,12)")
 
 
-def apply_percent(amount: Column, percent: Column) -> Column:
-    share = F.coalesce(amount, F.lit(0)).cast("decimal(12,2)") * percent
-    return F.round(share / F.expr("100BD"), 2).cast("decimal(12,2)")
+def fraction_of(part: Column, whole: Column) -> Column:
+    """The same percentage as a fraction; 15 digits are enough and keep it a plain long."""
+    return (percent_of(part, whole) * F.expr("0.01BD")).cast("decimal(15,14)")
+
+
+def apply_fraction(amount: Column, fraction: Column) -> Column:
+    """Exact product of a DECIMAL(12,2) amount, rounded half up to cents."""
+    share = F.coalesce(amount, F.lit(0)).cast("decimal(12,2)") * fraction
+    return F.round(share, 2).cast("decimal(12,2)")
 
 
 def positive_part(value: Column) -> Column:

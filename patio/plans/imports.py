@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from patio.functions import dates, keys, numbers, text
 from patio.operators import dedup, identity, joins, quality, upsert
+from patio.operators.shape import computed_once
 from patio.schemas import CONCEPTS, RAW_CHARGES
 
 
@@ -120,18 +121,21 @@ def unit_areas(units: DataFrame, accessories: DataFrame) -> DataFrame:
 def allocate(amounts: DataFrame, units: DataFrame, accessories: DataFrame) -> DataFrame:
     """Each unit's rounded share of the seven amounts, by floor area.
 
-    The building's area joins the building's months first, so units meet one small table.
+    The exact fraction is found once per unit. The join with the building's months then turns
+    one narrow row into many wide ones, so the units are spread over all tasks before it:
+    adaptive sizing would only see the narrow input.
     """
     areas = unit_areas(units, accessories)
-    whole = areas.groupBy("idConsorcio").agg(F.sum("m2").alias("m2_total"))
-    monthly = amounts.join(whole, "idConsorcio")
-    percent = numbers.percent_of(F.col("m2"), F.col("m2_total"))
-    shares = [numbers.apply_percent(F.col(f"`{c}`"), F.col("_pct")).alias(c) for c in CONCEPTS]
-    return (
-        areas.join(monthly, "idConsorcio")
-        .withColumn("_pct", percent)
-        .select("idUF", "idConsorcio", "periodo", *shares)
+    whole = areas.groupBy("idConsorcio").agg(F.sum("m2").alias("_m2"))
+    tasks = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = (
+        areas.join(whole, "idConsorcio")
+        .select("idUF", "idConsorcio", numbers.fraction_of(F.col("m2"), F.col("_m2")).alias("_parte"))
+        .repartition(tasks, "idUF")
     )
+    shares = [numbers.apply_fraction(F.col(f"`{c}`"), F.col("_parte")).alias(c) for c in CONCEPTS]
+    months = parts.join(amounts, "idConsorcio")
+    return computed_once(months, [F.col("idUF"), F.col("idConsorcio"), F.col("periodo"), *shares])
 
 
 def _total(shares: DataFrame) -> Column:
@@ -148,26 +152,38 @@ def by_concept(shares: DataFrame) -> DataFrame:
     return long.filter("importe > 0")
 
 
+def concept_offers(providers: DataFrame, concept_map: DataFrame) -> DataFrame:
+    """Who serves each concept in each building, from the concept's service type."""
+    kinds = concept_map.select(
+        "concepto",
+        F.col("tipoServicio").alias("tipo"),
+        "categoria",
+        keys.match_key(F.col("tipoServicio")).alias("_tipo"),
+    )
+    return providers.select(
+        F.col("id").alias("idPrestadorServicio"),
+        "idConsorcio",
+        keys.match_key(F.col("tipoServicio")).alias("_tipo"),
+    ).join(kinds, "_tipo").drop("_tipo")
+
+
 def detail_lines(shares: DataFrame, providers: DataFrame, concept_map: DataFrame) -> DataFrame:
     """Charge lines for each provider of the concept's service type in the building.
 
-    A concept without provider has no line and one with two providers has two.
+    A concept without provider has no line and one with two providers has two. Concepts meet
+    the providers first, so that the lines need one join only.
     """
-    mapped = by_concept(shares).join(concept_map, "concepto")
-    offers = providers.select(
-        F.col("id").alias("idPrestadorServicio"),
+    ids = shares.select(
+        keys.charge_id(F.col("idUF"), F.col("periodo")).alias("idExpensa"),
         "idConsorcio",
-        keys.match_key(F.col("tipoServicio")).alias("_tipo"),
-    )
-    lines = mapped.withColumn("_tipo", keys.match_key(F.col("tipoServicio"))).join(
-        offers, ["idConsorcio", "_tipo"]
+        *[F.col(f"`{c}`") for c in CONCEPTS],
     )
-    return lines.select(
-        keys.charge_id(F.col("idUF"), F.col("periodo")).alias("idExpensa"),
+    return by_concept(ids).join(concept_offers(providers, concept_map), ["idConsorcio", "concepto"]).select(
+        "idExpensa",
         "idPrestadorServicio",
         F.col("importe").cast("decimal(18,2)").alias("importe"),
         F.lit(None).cast("string").alias("nroFactura"),
-        F.col("tipoServicio").alias("tipo"),
+        "tipo",
         "categoria",
     )
 
@@ -216,13 +232,13 @@ def allocation_residual(
     shared = shares.groupBy(*key).agg(F.sum(_total(shares)).alias("repartido"))
     # Lines are counted per building, month and concept before providers repeat them.
     per_concept = by_concept(shares).groupBy(*key, "concepto").agg(F.sum("importe").alias("importe"))
-    offers = providers.groupBy(
-        "idConsorcio", keys.match_key(F.col("tipoServicio")).alias("_tipo")
-    ).agg(F.count(F.lit(1)).alias("_n"))
+    offers = (
+        concept_offers(providers, concept_map)
+        .groupBy("idConsorcio", "concepto")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
     lines = (
-        per_concept.join(concept_map, "concepto")
-        .withColumn("_tipo", keys.match_key(F.col("tipoServicio")))
-        .join(offers, ["idConsorcio", "_tipo"])
+        per_concept.join(offers, ["idConsorcio", "concepto"])
         .groupBy(*key)
         .agg(F.sum(F.col("importe") * F.col("_n").cast("decimal(10,0)")).alias("detallado"))
     )
@@ -255,11 +271,14 @@ def sum_of(columns: list[Column]) -> Column:
 
 def clean_payments(raw: DataFrame) -> DataFrame:
     cbu = text.stripped_or_null(F.col("CbuCvu"), " " + text.NBSP)
-    return raw.select(
-        numbers.try_integer(F.col("IdDePago"), "bigint").alias("idDePago"),
-        dates.parse_date(F.col("FechaTxt")).alias("fechaPago"),
-        cbu.alias("cbu"),
-        numbers.payment_amount(F.col("ValorTxt")).alias("monto"),
+    return computed_once(
+        raw,
+        [
+            numbers.try_integer(F.col("IdDePago"), "bigint").alias("idDePago"),
+            dates.parse_date(F.col("FechaTxt")).alias("fechaPago"),
+            cbu.alias("cbu"),
+            numbers.payment_amount(F.col("ValorTxt")).alias("monto"),
+        ],
         _raw_row(raw),
     )
 
@@ -295,11 +314,14 @@ def import_payments(raw: DataFrame, units: DataFrame, payments: DataFrame) -> Pa
 
 def clean_groups(raw: DataFrame) -> DataFrame:
     _, name, address, count, area = raw.columns
-    return raw.select(
-        text.truncate(text.trimmed(F.col(f"`{name}`")), 100).alias("nombre"),
-        text.truncate(text.trimmed(F.col(f"`{address}`")), 100).alias("domicilio"),
-        numbers.grouped_integer(F.col(f"`{count}`")).alias("cantidadUnidades"),
-        numbers.grouped_integer(F.col(f"`{area}`")).alias("m2totales"),
+    return computed_once(
+        raw,
+        [
+            text.truncate(text.trimmed(F.col(f"`{name}`")), 100).alias("nombre"),
+            text.truncate(text.trimmed(F.col(f"`{address}`")), 100).alias("domicilio"),
+            numbers.grouped_integer(F.col(f"`{count}`")).alias("cantidadUnidades"),
+            numbers.grouped_integer(F.col(f"`{area}`")).alias("m2totales"),
+        ],
         _raw_row(raw),
     )
 
@@ -340,11 +362,14 @@ def import_groups(raw: DataFrame, groups: DataFrame, reference_order: bool = Fal
 def import_providers(raw: DataFrame, groups: DataFrame, providers: DataFrame) -> TableImport:
     """Upsert of the account by (group, name, service type); a missing account overwrites."""
     named = joins.group_by_name(raw, text.trimmed(F.col("F4")), groups, "left")
-    typed = named.select(
-        "idConsorcio",
-        text.truncate(text.trimmed(F.col("F1")), 100).alias("tipoServicio"),
-        text.truncate(text.trimmed(F.col("F2")), 100).alias("nombre"),
-        numbers.account_number(F.col("F3")).alias("cuenta"),
+    typed = computed_once(
+        named,
+        [
+            F.col("idConsorcio"),
+            text.truncate(text.trimmed(F.col("F1")), 100).alias("tipoServicio"),
+            text.truncate(text.trimmed(F.col("F2")), 100).alias("nombre"),
+            numbers.account_number(F.col("F3")).alias("cuenta"),
+        ],
         _raw_row(raw),
     )
     good, bad = quality.split_valid(
@@ -369,11 +394,14 @@ def import_providers(raw: DataFrame, groups: DataFrame, providers: DataFrame) ->
 def clean_unit_accounts(raw: DataFrame) -> DataFrame:
     bare = text.strip_chars(F.col("cbu_uf"), '" .-' + text.NBSP)
     apartment = text.truncate(text.strip_chars(F.col("departamento"), '"'), 10)
-    return raw.select(
-        text.stripped_or_null(F.col("nombreConsorcio"), '"').alias("consorcio"),
-        numbers.try_integer(text.strip_chars(F.col("nroUF"), '" .-'), "bigint").alias("numeroUnidad"),
-        F.nullif(apartment, F.lit("")).alias("departamento"),
-        F.nullif(text.truncate(bare, 30), F.lit("")).alias("cbu_cvu_actual"),
+    return computed_once(
+        raw,
+        [
+            text.stripped_or_null(F.col("nombreConsorcio"), '"').alias("consorcio"),
+            numbers.try_integer(text.strip_chars(F.col("nroUF"), '" .-'), "bigint").alias("numeroUnidad"),
+            F.nullif(apartment, F.lit("")).alias("departamento"),
+            F.nullif(text.truncate(bare, 30), F.lit("")).alias("cbu_cvu_actual"),
+        ],
         _raw_row(raw),
     )
 
@@ -429,14 +457,17 @@ def import_unit_accounts(raw: DataFrame, groups: DataFrame, units: DataFrame) ->
 
 
 def clean_persons(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        text.stripped_or_null(F.col("nombre"), '"').alias("nombre"),
-        text.stripped_or_null(F.col("apellido"), '"').alias("apellido"),
-        numbers.try_integer(text.strip_chars(F.col("dni"), " .-"), "bigint").alias("dni"),
-        text.stripped_or_null(F.col("email"), '" ').alias("email"),
-        text.stripped_or_null(F.col("telefono"), '" ').alias("telefono"),
-        text.stripped_or_null(F.col("cbu_cvu"), '" ').alias("cbu_cvu"),
-        text.tenure_label(F.col("tipotitularidad")).alias("tipoTitularidad"),
+    return computed_once(
+        raw,
+        [
+            text.stripped_or_null(F.col("nombre"), '"').alias("nombre"),
+            text.stripped_or_null(F.col("apellido"), '"').alias("apellido"),
+            numbers.try_integer(text.strip_chars(F.col("dni"), " .-"), "bigint").alias("dni"),
+            text.stripped_or_null(F.col("email"), '" ').alias("email"),
+            text.stripped_or_null(F.col("telefono"), '" ').alias("telefono"),
+            text.stripped_or_null(F.col("cbu_cvu"), '" ').alias("cbu_cvu"),
+            text.tenure_label(F.col("tipotitularidad")).alias("tipoTitularidad"),
+        ],
         _raw_row(raw),
     )
 
@@ -468,19 +499,22 @@ def import_persons(raw: DataFrame, persons: DataFrame) -> TableImport:
 def clean_units(raw: DataFrame) -> DataFrame:
     """Typed unit rows; a missing coefficient is 0.0, a missing area 1 and missing rooms 0."""
     c = F.col
-    return raw.select(
-        text.trimmed(c("`Nombre del consorcio`")).alias("consorcio"),
-        numbers.try_integer(c("nroUnidadFuncional"), "bigint").alias("numeroUnidad"),
-        numbers.floor_number(c("Piso")).alias("piso"),
-        text.blank_to_null(c("departamento")).alias("departamento"),
-        F.coalesce(numbers.try_decimal(c("coeficiente"), "decimal(3,1)"), F.lit(0))
-        .cast("decimal(3,1)")
-        .alias("coeficiente"),
-        F.coalesce(numbers.try_integer(c("m2_unidad_funcional")), F.lit(1)).alias("m2_UF"),
-        text.yes_flag(c("bauleras")).alias("baulera"),
-        text.yes_flag(c("cochera")).alias("cochera"),
-        F.coalesce(numbers.try_integer(c("m2_baulera")), F.lit(0)).alias("m2_baulera"),
-        F.coalesce(numbers.try_integer(c("m2_cochera")), F.lit(0)).alias("m2_cochera"),
+    return computed_once(
+        raw,
+        [
+            text.trimmed(c("`Nombre del consorcio`")).alias("consorcio"),
+            numbers.try_integer(c("nroUnidadFuncional"), "bigint").alias("numeroUnidad"),
+            numbers.floor_number(c("Piso")).alias("piso"),
+            text.blank_to_null(c("departamento")).alias("departamento"),
+            F.coalesce(numbers.try_decimal(c("coeficiente"), "decimal(3,1)"), F.lit(0))
+            .cast("decimal(3,1)")
+            .alias("coeficiente"),
+            F.coalesce(numbers.try_integer(c("m2_unidad_funcional")), F.lit(1)).alias("m2_UF"),
+            text.yes_flag(c("bauleras")).alias("baulera"),
+            text.yes_flag(c("cochera")).alias("cochera"),
+            F.coalesce(numbers.try_integer(c("m2_baulera")), F.lit(0)).alias("m2_baulera"),
+            F.coalesce(numbers.try_integer(c("m2_cochera")), F.lit(0)).alias("m2_cochera"),
+        ],
         _raw_row(raw),
     )
 
