@@ -2,6 +2,9 @@
 
 Each job keeps exactly the rows the cleaning rules accept. Everything else comes back as
 rejects with a reason, the row as JSON text and its number of copies.
+
+The dimension imports store their cleaned change set once: updates, inserts and follow-up
+tables all read it, and the raw text is not parsed again for each.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from patio.functions import dates, keys, numbers, text
 from patio.operators import dedup, identity, joins, quality, upsert
 from patio.operators.shape import computed_once
 from patio.schemas import CONCEPTS, RAW_CHARGES
+from patio.session import materialize
 
 
 class ChargeImport(NamedTuple):
@@ -348,6 +352,7 @@ def import_groups(raw: DataFrame, groups: DataFrame, reference_order: bool = Fal
     source = _typed(good)
     if not reference_order:
         source = dedup.keep_one(source, ["nombre"], fold=["nombre"])
+    source = materialize(source)
     updated = upsert.update_matched(
         groups, source, ["nombre"], columns=["domicilio", "cantidadUnidades", "m2totales"], fold=["nombre"]
     )
@@ -381,7 +386,7 @@ def import_providers(raw: DataFrame, groups: DataFrame, providers: DataFrame) ->
         },
     )
     key, fold = ["idConsorcio", "nombre", "tipoServicio"], ["nombre", "tipoServicio"]
-    source = dedup.keep_one(_typed(good), key, fold=fold)
+    source = materialize(dedup.keep_one(_typed(good), key, fold=fold))
     updated = upsert.update_matched(providers, source, key, columns=["cuenta"], fold=fold)
     fresh = upsert.new_rows(providers, source, key, fold=fold)
     inserted = upsert.shaped_like(providers, identity.number_rows(fresh, providers, "id", key))
@@ -442,6 +447,7 @@ def import_unit_accounts(raw: DataFrame, groups: DataFrame, units: DataFrame) ->
     one = dedup.keep_one(_typed(good), ["consorcio", "numeroUnidad"], fold=["consorcio"])
     named = joins.group_by_name(one, F.col("consorcio"), groups, "left")
     source, lost = quality.split_valid(named, {UNKNOWN_GROUP: _known("idConsorcio")})
+    source = materialize(source)
     state = _upsert_units(
         units,
         source.drop("consorcio"),
@@ -485,7 +491,7 @@ def person_rules() -> dict[str, Column]:
 def import_persons(raw: DataFrame, persons: DataFrame) -> TableImport:
     """Full overwrite by dni; a dni seen twice in the file is dropped entirely."""
     good, bad = quality.split_valid(clean_persons(raw), person_rules())
-    source = dedup.drop_repeated(_typed(good), ["dni"])
+    source = materialize(dedup.drop_repeated(_typed(good), ["dni"]))
     updated = upsert.update_matched(persons, source, ["dni"])
     fresh = upsert.new_rows(persons, source, ["dni"])
     inserted = upsert.shaped_like(persons, identity.number_rows(fresh, persons, "id", ["dni"]))
@@ -537,7 +543,7 @@ def import_units(
     named = joins.group_by_name(clean_units(raw), F.col("consorcio"), groups, "left")
     good, bad = quality.split_valid(named, unit_rules())
     key = ["idConsorcio", "numeroUnidad"]
-    source = dedup.drop_repeated(_typed(good).drop("consorcio"), key)
+    source = materialize(dedup.drop_repeated(_typed(good).drop("consorcio"), key))
     state = _upsert_units(units, source, ["piso", "departamento", "coeficiente", "m2_UF"], {})
     rooms = source.join(state.select("idUF", *key), key).select(
         F.col("idUF").alias("idUnidadFuncional"), "cochera", "baulera", "m2_baulera", "m2_cochera"

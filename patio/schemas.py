@@ -16,6 +16,10 @@ TABLES: dict[str, str] = {
         "id bigint, nombre string, apellido string, dni bigint, email string, telefono string, "
         "cbu_cvu string, tipoTitularidad string"
     ),
+    "persona_cifrada": (
+        "id bigint, dni bigint, cbu_cvu string, tipoTitularidad string, nombre_encrypted binary, "
+        "apellido_encrypted binary, email_encrypted binary, telefono_encrypted binary"
+    ),
     "prestador": "id bigint, idConsorcio bigint, nombre string, tipoServicio string, cuenta string",
     "unidad": (
         "idUF bigint, idConsorcio bigint, numeroUnidad bigint, piso smallint, departamento string, "

@@ -17,6 +17,7 @@ from patio.functions.dates import month_column
 from patio.schemas import TABLES, table_schema
 
 # Tables that reports cut by a date range are stored in one folder per month of that date.
+VERSION = "version"
 STORED_BY_MONTH = {"pago": "fechaPago", "expensa": "periodo"}
 
 
@@ -39,7 +40,7 @@ class TableStore:
         return sorted(n for n in names if n.endswith(".json"))
 
     def current(self) -> dict[str, list[dict]]:
-        """Folders that make up each table now, with the months replaced since."""
+        """Versions that make up each table now, with the months replaced since."""
         commits = self._commits()
         if not commits:
             return {}
@@ -47,30 +48,36 @@ class TableStore:
         return json.loads(text.first()[0])
 
     def load(self, name: str) -> DataFrame:
-        """The table with its declared columns; empty when nothing was published."""
-        folders = self.current().get(name)
+        """The table with its declared columns; empty when nothing was published.
+
+        All folders are read by one scan. Its partition columns are the version and, where the
+        table is stored by month, the month.
+        """
+        entries = self.current().get(name)
         schema = table_schema(name)
-        if not folders:
+        day = STORED_BY_MONTH.get(name)
+        if day:
+            schema = schema.add(month_column(day), "date")
+        if not entries:
             return self.spark.createDataFrame([], schema)
-        month = STORED_BY_MONTH.get(name)
-        if month:
-            schema = schema.add(month_column(month), "date")
-        # The month folders sit below different version folders, hence one base path for each.
-        parts = []
-        for entry in folders:
-            path = f"{self.root}/{entry['folder']}"
-            part = self.spark.read.schema(schema).option("basePath", path).parquet(path)
+        table = (
+            self.spark.read.schema(schema.add(VERSION, "string"))
+            .option("basePath", f"{self.root}/{name}")
+            .parquet(*[f"{self.root}/{name}/{VERSION}={e['version']}" for e in entries])
+        )
+        for entry in entries:
             if entry["without"]:
-                gone = [F.lit(day).cast("date") for day in entry["without"]]
-                part = part.filter(~F.col(month_column(month)).isin(*gone))
-            parts.append(part)
-        table = parts[0]
-        for part in parts[1:]:
-            table = table.unionByName(part)
-        return table
+                gone = [F.lit(x).cast("date") for x in entry["without"]]
+                replaced = (F.col(VERSION) == entry["version"]) & F.col(month_column(day)).isin(*gone)
+                table = table.filter(~replaced)
+        return table.drop(VERSION)
+
+    def compact(self, name: str) -> None:
+        """Rewrite a table that was appended to many times as one version."""
+        self.publish(replace={name: self.load(name)})
 
     def _write(self, name: str, df: DataFrame) -> str:
-        folder = f"{name}/{uuid.uuid4().hex}"
+        version = uuid.uuid4().hex
         wanted = table_schema(name)
         rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
         day = STORED_BY_MONTH.get(name)
@@ -81,8 +88,8 @@ class TableStore:
             writer = rows.write.partitionBy(month)
         else:
             writer = rows.write
-        writer.mode("errorifexists").parquet(f"{self.root}/{folder}")
-        return folder
+        writer.mode("errorifexists").parquet(f"{self.root}/{name}/{VERSION}={version}")
+        return version
 
     def publish(
         self,
@@ -102,16 +109,16 @@ class TableStore:
         state = self.current()
         seen = self._commits()
         for name, df in (replace or {}).items():
-            state[name] = [{"folder": self._write(name, df), "without": []}]
+            state[name] = [{"version": self._write(name, df), "without": []}]
         for name, df in (append or {}).items():
-            state[name] = [*state.get(name, []), {"folder": self._write(name, df), "without": []}]
+            state[name] = [*state.get(name, []), {"version": self._write(name, df), "without": []}]
         for name, (df, months) in replace_months.items():
             gone = {str(m) for m in months}
             kept = [
-                {"folder": e["folder"], "without": sorted(gone.union(e["without"]))}
+                {"version": e["version"], "without": sorted(gone.union(e["without"]))}
                 for e in state.get(name, [])
             ]
-            state[name] = [*kept, {"folder": self._write(name, df), "without": []}]
+            state[name] = [*kept, {"version": self._write(name, df), "without": []}]
         self._commit(state, len(seen))
 
     def overwrite(self, name: str, df: DataFrame | None = None) -> None:

@@ -45,16 +45,24 @@ def ingest_payments(
     )
 
 
-def link_batch(store: TableStore, changed: DataFrame) -> None:
-    """Tie waiting payments and rewrite only the months that have some."""
+def linked_months(store: TableStore, changed: DataFrame) -> dict[str, tuple[DataFrame, list]]:
+    """The months of payments in which waiting ones get their unit, ready to be published."""
     payments = store.load("pago")
     linked = newly_linked(payments, changed)
     day = STORED_BY_MONTH["pago"]
     # One value per month of the history at most.
     months = [r[0] for r in linked.select(month_start(F.col(day))).distinct().collect()]
+    if not months:
+        return {}
+    touched = payments.filter(F.col(month_column(day)).isin(months))
+    return {"pago": (link_payments(touched, changed), months)}
+
+
+def link_batch(store: TableStore, changed: DataFrame) -> None:
+    """Tie waiting payments and rewrite only the months that have some."""
+    months = linked_months(store, changed)
     if months:
-        touched = payments.filter(F.col(month_column(day)).isin(months))
-        store.publish(replace_months={"pago": (link_payments(touched, changed), months)})
+        store.publish(replace_months=months)
 
 
 def link_unit_changes(
