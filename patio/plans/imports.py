@@ -125,9 +125,9 @@ def unit_areas(units: DataFrame, accessories: DataFrame) -> DataFrame:
 def allocate(amounts: DataFrame, units: DataFrame, accessories: DataFrame) -> DataFrame:
     """Each unit's rounded share of the seven amounts, by floor area.
 
-    The exact fraction is found once per unit. The join with the building's months then turns
-    one narrow row into many wide ones, so the units are spread over all tasks before it:
-    adaptive sizing would only see the narrow input.
+    The exact fraction is found once per unit. The join of units with the building's months then
+    turns few narrow rows into many wide ones, so both sides are spread over all tasks before
+    it, whichever of them Spark streams: adaptive sizing would only see the small input.
     """
     areas = unit_areas(units, accessories)
     whole = areas.groupBy("idConsorcio").agg(F.sum("m2").alias("_m2"))
@@ -138,7 +138,7 @@ def allocate(amounts: DataFrame, units: DataFrame, accessories: DataFrame) -> Da
         .repartition(tasks, "idUF")
     )
     shares = [numbers.apply_fraction(F.col(f"`{c}`"), F.col("_parte")).alias(c) for c in CONCEPTS]
-    months = parts.join(amounts, "idConsorcio")
+    months = parts.join(amounts.repartition(tasks, "idConsorcio", "periodo"), "idConsorcio")
     return computed_once(months, [F.col("idUF"), F.col("idConsorcio"), F.col("periodo"), *shares])
 
 
