@@ -37,9 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = os.path.join(os.path.abspath("spark-warehouse"), "checkpoints")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return os.path.join(os.path.abspath("spark-warehouse"), "checkpoints")
 
 
 def materialize(df: DataFrame) -> DataFrame:
