@@ -138,7 +138,9 @@ def allocate(amounts: DataFrame, units: DataFrame, accessories: DataFrame) -> Da
         .repartition(tasks, "idUF")
     )
     shares = [numbers.apply_fraction(F.col(f"`{c}`"), F.col("_parte")).alias(c) for c in CONCEPTS]
-    months = parts.join(amounts.repartition(tasks, "idConsorcio", "periodo"), "idConsorcio")
+    # In another column order than the grouping before it, which Spark would take as done.
+    spread = amounts.repartition(tasks, "periodo", "idConsorcio")
+    months = parts.join(spread, "idConsorcio")
     return computed_once(months, [F.col("idUF"), F.col("idConsorcio"), F.col("periodo"), *shares])
 
 
