@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patio.llm import exact_dedup, lang_id, packing, pii, simhash
+from patio.llm import exact_dedup, lang_id, licenses, packing, pii, secret_scan, simhash
 from patio.llm.common import documents
 
 
+def op1_license_scan(spark, sf_dir) -> DataFrame:
+    return licenses.license_scan(documents(spark, sf_dir))
+
+
 def op3_exact_dedup(spark, sf_dir) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).drop("copy")
 
@@ -39,16 +43,22 @@ def op7_packing(spark, sf_dir) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op9_secret_scan(spark, sf_dir) -> DataFrame:
+    return secret_scan.secret_spans(documents(spark, sf_dir))
+
+
 def op10_simhash(spark, sf_dir) -> DataFrame:
     groups = simhash.near_groups(documents(spark, sf_dir))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_pii": op5_pii,
     "op7_packing": op7_packing,
+    "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
 }
-ORACLES = {"op3_exact_dedup": OP3_SQL}
+ORACLES = {"op1_license_scan": licenses.answer_sql(), "op3_exact_dedup": OP3_SQL}
