@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patio.llm import exact_dedup, lang_id, licenses, packing, pii, secret_scan, simhash
+from patio.llm import edit_fingerprints, exact_dedup, lang_id, licenses, packing, pii, secret_scan, simhash
 from patio.llm.common import documents
 
 
@@ -43,6 +43,10 @@ def op7_packing(spark, sf_dir) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op8_edit_fingerprints(spark, sf_dir) -> DataFrame:
+    return edit_fingerprints.edit_fingerprints(documents(spark, sf_dir))
+
+
 def op9_secret_scan(spark, sf_dir) -> DataFrame:
     return secret_scan.secret_spans(documents(spark, sf_dir))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_pii": op5_pii,
     "op7_packing": op7_packing,
+    "op8_edit_fingerprints": op8_edit_fingerprints,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
 }
