@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patio.llm import edit_fingerprints, exact_dedup, lang_id, licenses, packing, pii, secret_scan, simhash
+from patio.llm import edit_fingerprints, exact_dedup, lang_id, licenses, packing, pii, piece_viterbi, secret_scan, simhash
 from patio.llm.common import documents
 
 
@@ -39,6 +39,19 @@ def op5_pii(spark, sf_dir) -> DataFrame:
     return pii.pii_spans(documents(spark, sf_dir))
 
 
+def op6_piece_viterbi(spark, sf_dir) -> DataFrame:
+    """Ids of every text, and the text that they give back."""
+    back = piece_viterbi.decode(piece_viterbi.encode(documents(spark, sf_dir)))
+    decoded = F.sha2(F.encode("text", "UTF-8"), 256)
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.xxhash64("ids").alias("ids_hash"),
+        decoded.alias("decoded_sha256"),
+        (decoded == F.col("text_sha256")).alias("round_trip"),
+    )
+
+
 def op7_packing(spark, sf_dir) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -61,6 +74,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_pii": op5_pii,
+    "op6_piece_viterbi": op6_piece_viterbi,
     "op7_packing": op7_packing,
     "op8_edit_fingerprints": op8_edit_fingerprints,
     "op9_secret_scan": op9_secret_scan,
