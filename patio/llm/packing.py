@@ -26,15 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from patio.llm.bpe import Encoder
 from patio.llm.common import id_text, in_pieces, stored, utf8
-from patio.llm.words import distinct, spans, word_bounds
 
 CAPACITY = 2048
 CLOSING = 0
 GROUP_PIECES = 50_000
-BATCH_BYTES = 24 << 20
-#: Distinct words that a worker remembers between batches.
-REMEMBERED = 300_000
+#: Bytes of text that are encoded together.
+BATCH_BYTES = 6 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -45,48 +44,6 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder:
-    """Ids of a batch of texts; the vocabulary is asked once for each distinct word.
-
-    The tokenizer drops white space and treats what stands between as texts of their own, so
-    the ids of a text are those of its words one after the other.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        # Strings of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def words(self, words: list[bytes]) -> list[np.ndarray]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            made = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, np.uint32)) for w, e in zip(part, made, strict=True))
-        return [self.known[w] for w in words]
-
-    def ids(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts end to end, each closed by CLOSING, and the offsets of the texts."""
-        start, end, first = word_bounds(data, at)
-        number, stand = distinct(data, start, end)
-        raw = data.tobytes()
-        made = self.words([raw[a:b] for a, b in zip(start[stand].tolist(), end[stand].tolist(), strict=True)])
-        # The closing id is one more "word" at the end of the table, put after each text.
-        size = np.array([*(len(m) for m in made), 1], np.int64)
-        table = np.concatenate([*made, np.array([CLOSING], np.uint32)])
-        place = np.cumsum(size) - size
-        order = np.insert(number, first[1:], len(made))
-        taken = size[order]
-        out = table[spans(place[order], taken)]
-        closed = first[1:] + np.arange(len(at) - 1)
-        return out, np.concatenate(([0], np.cumsum(taken)[closed])) if len(closed) else np.zeros(1, np.int64)
-
-
 _encoders: dict[str, Encoder] = {}
 
 
@@ -99,7 +56,7 @@ def pieces(docs: DataFrame, tokenizer: str) -> DataFrame:
             _encoders[tokenizer] = Encoder(tokenizer)
         encoder = _encoders[tokenizer]
         for batch in in_pieces(batches, BATCH_BYTES):
-            ids, at = encoder.ids(*utf8(batch.column("text")))
+            ids, at = encoder.ids(*utf8(batch.column("text")), CLOSING)
             total = np.diff(at)
             count = -(-total // CAPACITY)
             row = np.repeat(np.arange(len(total)), count)

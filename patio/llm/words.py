@@ -15,14 +15,17 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
+_INVERSE = pow(int(_FACTOR), -1, 1 << 64)
+_kept: dict[int, np.ndarray] = {}
 
 
-_INVERSE = pow(int(_FACTOR), -1, 1 << 64)
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first n powers modulo 2^64, kept between batches."""
+    if base not in _kept or len(_kept[base]) < n:
+        out = np.full(max(n, 1 << 16), base, np.uint64)
+        out[0] = 1
+        _kept[base] = np.multiply.accumulate(out)
+    return _kept[base][:n]
 
 
 def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
