@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,10 +28,10 @@ def id_text(docs: DataFrame) -> DataFrame:
     )
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write a frame that several later steps read to the folder in spark.checkpoint.dir.
+def _shared_folder(df: DataFrame) -> str:
+    """The checkpoint folder of the session, from spark.checkpoint.dir.
 
-    Where the session names no folder (a local session, tests) a temporary one is set.
+    Where the session names none (a local session, tests) a temporary one is set.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -40,9 +41,31 @@ def stored(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="patio-llm-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write a frame that several later steps read to the shared folder, and read it from there."""
+    _shared_folder(df)
     return df.checkpoint(eager=True)
 
 
+def stored_table(df: DataFrame) -> DataFrame:
+    """As stored, as a parquet table, for frames of many narrow rows.
+
+    The table lies in the checkpoint folder of the session and goes with it.
+    """
+    path = f"{_shared_folder(df)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def columns_of(batches: Iterator[pa.RecordBatch]) -> dict[str, np.ndarray]:
+    """All rows of a partition as arrays by column; empty if there are none. Nulls must not occur."""
+    table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
+    return {n: table.column(n).to_numpy() for n in table.column_names} if table is not None and table.num_rows else {}
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column end to end and the offsets of its rows (one more than rows)."""
     column = pc.fill_null(column, "")

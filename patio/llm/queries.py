@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patio.llm import edit_fingerprints, exact_dedup, lang_id, licenses, packing, pii, piece_viterbi, secret_scan, simhash
+from patio.llm import edit_fingerprints, exact_dedup, lang_id, licenses, packing, pii, piece_viterbi, secret_scan, simhash, suffix_dedup
 from patio.llm.common import documents
 
 
@@ -13,6 +13,10 @@ def op1_license_scan(spark, sf_dir) -> DataFrame:
     return licenses.license_scan(documents(spark, sf_dir))
 
 
+def op2_suffix_array(spark, sf_dir) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def op3_exact_dedup(spark, sf_dir) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir)).drop("copy")
 
@@ -71,6 +75,7 @@ def op10_simhash(spark, sf_dir) -> DataFrame:
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
+    "op2_suffix_array": op2_suffix_array,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_language_id": op4_language_id,
     "op5_pii": op5_pii,
