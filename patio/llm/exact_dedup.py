@@ -43,36 +43,42 @@ def digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def _hashes(keys: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Three numbers from different bytes of the digest: group, start and step."""
-    words = keys.view("<u8").reshape(len(keys), 4)
-    group = (words[:, 1] % np.uint64(groups)).astype(np.int64)
-    return group, (words[:, 2] >> np.uint64(1)).astype(np.int64), (words[:, 3] >> np.uint64(1)).astype(np.int64)
+def _words(keys: np.ndarray) -> np.ndarray:
+    return keys.view("<u8").reshape(len(keys), 4)
 
 
-def _slot(start: np.ndarray, step: np.ndarray, displacement, n: int) -> np.ndarray:
-    """Slots of a bucket of n; a displacement d is the pair (d // n, d % n)."""
-    return (start % n + (displacement // n) * (step % n) + displacement % n) % n
+def _group(keys: np.ndarray, groups: int) -> np.ndarray:
+    return (_words(keys)[:, 1] % np.uint64(groups)).astype(np.int64)
+
+
+def _slot(keys: np.ndarray, displacement: np.ndarray, n: int) -> np.ndarray:
+    """Slots of keys in a bucket of n; every displacement hashes two words of the digest anew."""
+    words = _words(keys)
+    x = words[:, 2] + displacement.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30)) ^ words[:, 3]) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) % np.uint64(n)).astype(np.int64)
 
 
 def build_bucket(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Displacement of each group and slot of each key; keys are distinct rows of 32 bytes."""
+    """Displacement of each group and slot of each key; keys are distinct rows of 32 bytes.
+
+    Large groups are placed first. A group takes the first displacement that puts all its keys
+    into free slots of their own; the last key of n needs about n tries.
+    """
     n = len(keys)
     groups = -(-n // DISPLACED_TOGETHER)
-    group, start, step = _hashes(keys, groups)
+    group = _group(keys, groups)
     order = np.argsort(group, kind="stable")
-    ends = np.cumsum(np.bincount(group, minlength=groups))
-    members = np.split(order, ends[:-1])
+    members = np.split(order, np.cumsum(np.bincount(group, minlength=groups))[:-1])
     taken = np.zeros(n, bool)
     slots = np.zeros(n, np.int64)
     displacements = np.zeros(groups, np.int64)
     for g in sorted(range(groups), key=lambda g: -len(members[g])):
-        own = members[g]
-        if not len(own):
-            continue
-        for turn in range(n + 1):
-            tries = turn * n + np.arange(n)
-            at = _slot(start[own][None, :], step[own][None, :], tries[:, None], n)
+        own, first, width = members[g], 0, 32
+        while len(own):
+            tries = np.arange(first, first + width)
+            at = _slot(np.tile(keys[own], (width, 1)), np.repeat(tries, len(own)), n).reshape(width, len(own))
             free = ~taken[at].any(axis=1)
             if len(own) > 1:
                 ranked = np.sort(at, axis=1)
@@ -82,8 +88,7 @@ def build_bucket(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 displacements[g], slots[own] = tries[pick], at[pick]
                 taken[at[pick]] = True
                 break
-        else:
-            raise RuntimeError("no displacement separates these digests")
+            first, width = first + width, min(4 * width, 4096)
     return displacements, slots
 
 
@@ -114,8 +119,8 @@ def _probe(incoming: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
         row = index.iloc[0]
         slots = _matrix([row["digests"]])
         keys = _matrix(incoming["digest"])
-        group, start, step = _hashes(keys, len(row["displacements"]))
-        at = _slot(start, step, np.asarray(row["displacements"])[group], len(slots))
+        displacements = np.asarray(row["displacements"])
+        at = _slot(keys, displacements[_group(keys, len(displacements))], len(slots))
         member = (slots[at] == keys).all(axis=1)
         out["winner"] = np.where(member, np.asarray(row["winners"])[at], out["winner"])
         out["seen"] = out["seen"] + np.where(member, np.asarray(row["counts"])[at], 0)
@@ -191,18 +196,18 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     Of rows repeated with one doc_id and one text, any one stays.
     """
-    kept = exact_dedup(docs)
-    names = docs.columns
-    ids = kept.groupBy("doc_id", "text_sha256").agg(
-        F.max("kept").alias("stays"), F.max("copy").alias("copies")
-    ).where("stays").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("copies").alias("_copies")
+    ids = (
+        exact_dedup(docs)
+        .groupBy("doc_id", "text_sha256")
+        .agg(F.max("kept").alias("stays"), F.max("copy").alias("copies"))
+        .where("stays")
+        .select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha"), "copies")
     )
+    # Rows travel as one column, so that no name of theirs can clash.
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    marked = docs.withColumn("_key", F.sha2(F.encode(normalised(text), "UTF-8"), 256))
-    joined = marked.join(
-        ids, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_sha"))
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.sha2(F.encode(normalised(text), "UTF-8"), 256).alias("key")
     )
-    once = joined.where("_copies = 1").select(*names)
-    repeated = joined.where("_copies > 1").dropDuplicates(["_id", "_key"]).select(*names)
-    return once.unionByName(repeated)
+    joined = keyed.join(ids, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("key") == F.col("sha")))
+    repeated = joined.where("copies > 1").dropDuplicates(["id", "key"])
+    return joined.where("copies = 1").select("row.*").unionByName(repeated.select("row.*"))
