@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +19,22 @@ from pyspark.sql import functions as F
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+def shipped(spark: SparkSession) -> None:
+    """Send the package to the workers where they would not find it by themselves."""
+    root = Path(__file__).resolve().parents[2]
+    seen = [Path.cwd(), *map(Path, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))]
+    if root in [p.resolve() for p in seen] or spark.sparkContext.applicationId in _sent:
+        return
+    name = Path(tempfile.mkdtemp(prefix="patio-code-")) / "patio"
+    spark.sparkContext.addPyFile(shutil.make_archive(str(name), "zip", root, "patio"))
+    _sent.add(spark.sparkContext.applicationId)
+
+
+_sent: set[str] = set()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shipped(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -32,6 +32,8 @@ STEPS = 500
 BATCH = 128
 SLICE = 256
 UNKNOWN = "und"
+# Names beside the columns of an input, which may have any others.
+LETTERS, LANG, SCORE = "__language_id_letters", "__language_id_lang", "__language_id_score"
 
 
 class Network:
@@ -170,9 +172,9 @@ def _training_windows(batches):
 
 
 def _predicted(rows: DataFrame, network: Network | None, carried: list[str]) -> DataFrame:
-    """The carried columns of rows (which has `text` and `_letters`) with _lang and _score."""
+    """The carried columns of rows (which has `text` and LETTERS) with LANG and SCORE."""
     if network is None:
-        return rows.select(*carried, F.lit(UNKNOWN).alias("_lang"), F.lit(0.0).alias("_score"))
+        return rows.select(*carried, F.lit(UNKNOWN).alias(LANG), F.lit(0.0).alias(SCORE))
     shared = rows.sparkSession.sparkContext.broadcast(network)
 
     def predict(batches):
@@ -186,26 +188,26 @@ def _predicted(rows: DataFrame, network: Network | None, carried: list[str]) ->
                 np.add.at(total, row[i : i + SLICE], part)
             mean = total / np.maximum(1, np.diff(at))[:, None]
             best = mean.argmax(axis=1)
-            known = batch.column("_letters").to_numpy(zero_copy_only=False).astype(bool)
+            known = batch.column(LETTERS).to_numpy(zero_copy_only=False).astype(bool)
             names = np.where(known, np.array(model.labels, object)[best], UNKNOWN)
             score = np.where(known, np.clip(mean[np.arange(len(best)), best], 0, 1), 0.0)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carried), pa.array(names, pa.string()), pa.array(score)],
-                names=[*carried, "_lang", "_score"],
+                names=[*carried, LANG, SCORE],
             )
 
-    fields = [*rows.select(*carried).schema.fields, T.StructField("_lang", T.StringType()), T.StructField("_score", T.DoubleType())]
+    fields = [*rows.select(*carried).schema.fields, T.StructField(LANG, T.StringType()), T.StructField(SCORE, T.DoubleType())]
     return rows.mapInArrow(predict, T.StructType(fields))
 
 
 def _lettered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    return docs.withColumn(LETTERS, F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
 
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row."""
     rows = _lettered(id_text(docs).select("doc_id", held_out().alias("held_out"), "text"))
-    return _predicted(rows, network, ["doc_id", "held_out"]).withColumnsRenamed({"_lang": "lang_pred", "_score": "score"})
+    return _predicted(rows, network, ["doc_id", "held_out"]).withColumnsRenamed({LANG: "lang_pred", SCORE: "score"})
 
 
 def language_id(docs: DataFrame) -> DataFrame:
@@ -216,4 +218,4 @@ def language_id(docs: DataFrame) -> DataFrame:
 def keep_known(docs: DataFrame) -> DataFrame:
     """The rows of docs with a language; `und` is rejected. Columns as in docs."""
     names = docs.columns
-    return _predicted(_lettered(docs), fit(docs), names).where(F.col("_lang") != UNKNOWN).select(*names)
+    return _predicted(_lettered(docs), fit(docs), names).where(F.col(LANG) != UNKNOWN).select(*names)

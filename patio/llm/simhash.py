@@ -269,13 +269,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows with null doc_id stay. Of rows repeated with one doc_id, the one with the smallest text stays.
     """
-    names = docs.columns
-    groups = near_groups(docs)
-    stays = groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_copies"))
-    stays = stays.withColumnRenamed("doc_id", "_id")
-    joined = docs.join(stays, F.col("doc_id").cast("long") == F.col("_id"))
-    once = joined.where("_copies = 1").select(*names)
-    most = joined.where("_copies > 1")
-    first = most.groupBy("_id").agg(F.min(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_text"))
-    repeated = most.join(first, "_id").where("coalesce(cast(text as string), '') = _text").dropDuplicates(["_id"]).select(*names)
-    return once.unionByName(repeated).unionByName(docs.where("doc_id is null"))
+    stays = near_groups(docs).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
+    # Rows travel as one column, so that no name of theirs can clash.
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    joined = keyed.join(stays, "doc_id")
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    most = joined.where("copies > 1").withColumn("text", text)
+    first = most.groupBy("doc_id").agg(F.min("text").alias("text"))
+    repeated = most.join(first, ["doc_id", "text"]).dropDuplicates(["doc_id"])
+    kept = joined.where("copies = 1").select("row.*").unionByName(repeated.select("row.*"))
+    return kept.unionByName(docs.where("doc_id is null"))
