@@ -24,18 +24,26 @@ MONTHS = (
 )
 
 
-SLASHED = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
+#: Day, month and year with one separator, and a time of day or none.
+DAY_FIRST = r"^([0-9]{1,2})([/.-])([0-9]{1,2})\2([0-9]{4})(?: +[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?)?$"
+COMPACT = r"^[0-9]{8}$"
+#: Year, month and day; a month alone is no date.
+YEAR_FIRST = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 
 
 def parse_date(text: Column) -> Column:
-    """Day/month/year, or ISO with or without a time of day.
+    """Day, month and year with / . or - between, yyyyMMdd, or ISO; each but the second with or
+    without a time of day.
 
     The pattern decides which parser runs: a parser that meets a foreign format raises and
     catches an error for every row.
     """
     bare = F.trim(text)
-    return F.when(bare.rlike(SLASHED), F.try_to_date(bare, "d/M/yyyy")).otherwise(
-        bare.try_cast("timestamp_ntz").cast("date")
+    slashed = F.regexp_replace(bare, DAY_FIRST, "$1/$3/$4")
+    return (
+        F.when(bare.rlike(DAY_FIRST), F.try_to_date(slashed, "d/M/yyyy"))
+        .when(bare.rlike(COMPACT), F.try_to_date(bare, "yyyyMMdd"))
+        .when(bare.rlike(YEAR_FIRST), bare.try_cast("timestamp_ntz").cast("date"))
     )
 
 

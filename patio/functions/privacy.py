@@ -1,17 +1,39 @@
 """Personal columns at rest: encrypted on write, readable only with the right key.
 
-The key is an argument; keeping it in a key store is the caller's part.
+The key is an argument; keeping it in a key store is the caller's part. In a plan it is a binary
+literal, so sessions redact those in plan texts (REDACTED, see `hide_keys`).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PERSONAL = ("nombre", "apellido", "email", "telefono")
 SUFFIX = "_encrypted"
+#: Binary literals of a key's length, as plans and SQL print them.
+REDACTED = r"(?:0x|X')(?:[0-9A-Fa-f]{2}){16,32}'?"
+
+
+class WrongKeyError(ValueError):
+    """Stored rows do not open under this key."""
+
+
+def hide_keys(spark: SparkSession) -> None:
+    """Plan texts of the session show no key from now on."""
+    spark.conf.set("spark.sql.redaction.string.regex", REDACTED)
+
+
+def assert_key(df: DataFrame, key: str, columns: Iterable[str] = PERSONAL) -> None:
+    """An error where a stored value does not open under the key."""
+    secret = F.lit(key.encode())
+    sealed = [F.col(c + SUFFIX) for c in columns]
+    shut = reduce(lambda a, b: a | b, [c.isNotNull() & F.try_aes_decrypt(c, secret).isNull() for c in sealed])
+    if not df.where(shut).isEmpty():
+        raise WrongKeyError("stored personal data does not open under this key")
 
 
 def encrypt_columns(df: DataFrame, key: str, columns: Iterable[str] = PERSONAL) -> DataFrame:

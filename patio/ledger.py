@@ -1,7 +1,7 @@
 """Every job by name over one set of stored tables: files in, reports out.
 
-An import reads its file, runs the job and publishes all tables it changes in one step. It
-returns the rejects. The order of imports is groups, providers, units, unit accounts, persons,
+An import reads its file, runs the job and publishes all tables it changes in one step, with the
+rejects it has not stored before (table `rechazo`). It returns its rejects. The order of imports is groups, providers, units, unit accounts, persons,
 charges, payments.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patio.functions import dates, privacy
-from patio.operators import quality
+from patio.operators import quality, upsert
 from patio.plans import billing, imports, profile, reports
 from patio.session import materialize
 from patio.sources import delimited, holidays, sheets, xml
@@ -32,6 +32,8 @@ class Ledger:
         self.spark = spark
         self.store = TableStore(spark, root)
         self.key = key
+        if key:
+            privacy.hide_keys(spark)
 
     def table(self, name: str) -> DataFrame:
         if name == "persona" and self.key:
@@ -42,51 +44,71 @@ class Ledger:
 
     # ------------------------------------------------------------------------------- imports
 
+    def _reported(self, origin: str, rejects: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(rejects not stored yet, all rejects of this import), both free of the input files."""
+        found = materialize(rejects.withColumn("origen", F.lit(origin)))
+        fresh = upsert.new_rows(self.table("rechazo"), found, ["origen", "motivo", "fila"])
+        return upsert.shaped_like(self.table("rechazo"), fresh), found.select("motivo", "fila", "copias")
+
     def import_groups(self, path: str, reference_order: bool = False) -> DataFrame:
+        self.store.begin()
         raw = sheets.read_sheet(self.spark, path)
         result = imports.import_groups(raw, self.table("consorcio"), reference_order)
-        self.store.publish(replace={"consorcio": result.table})
-        return result.rejects
+        fresh, rejects = self._reported("consorcio", result.rejects)
+        self.store.publish(replace={"consorcio": result.table}, append={"rechazo": fresh})
+        return rejects
 
     def import_providers(
-        self, path: str, first_row: int = 3, last_row: int = 30, first_col: int = 2
+        self, path: str, first_row: int = 3, last_row: int | None = None, first_col: int = 2
     ) -> DataFrame:
+        self.store.begin()
         raw = sheets.read_sheet_range(self.spark, path, first_row, last_row, first_col, 4)
         result = imports.import_providers(raw, self.table("consorcio"), self.table("prestador"))
-        self.store.publish(replace={"prestador": result.table})
-        return result.rejects
+        fresh, rejects = self._reported("prestador", result.rejects)
+        self.store.publish(replace={"prestador": result.table}, append={"rechazo": fresh})
+        return rejects
 
     def import_units(self, path: str) -> DataFrame:
+        self.store.begin()
         raw = delimited.read_raw(self.spark, "units", path)
         result = imports.import_units(
             raw, self.table("consorcio"), self.table("unidad"), self.table("accesoria")
         )
-        self._publish_units({"unidad": result.units, "accesoria": result.accessories}, result.changed)
-        return result.rejects
+        fresh, rejects = self._reported("unidad", result.rejects)
+        self._publish_units({"unidad": result.units, "accesoria": result.accessories}, result.changed, fresh)
+        return rejects
 
     def import_unit_accounts(self, path: str) -> DataFrame:
+        self.store.begin()
         raw = delimited.read_raw(self.spark, "unit_accounts", path)
         result = imports.import_unit_accounts(raw, self.table("consorcio"), self.table("unidad"))
-        self._publish_units({"unidad": result.units}, result.changed)
-        return result.rejects
+        fresh, rejects = self._reported("cuenta", result.rejects)
+        self._publish_units({"unidad": result.units}, result.changed, fresh)
+        return rejects
 
-    def _publish_units(self, tables: dict[str, DataFrame], changed: DataFrame) -> None:
+    def _publish_units(self, tables: dict[str, DataFrame], changed: DataFrame, rejects: DataFrame) -> None:
         """Changed units and the payments they tie appear together."""
         months = linked_months(self.store, materialize(changed))
-        self.store.publish(replace=tables, replace_months=months)
+        self.store.publish(replace=tables, append={"rechazo": rejects}, replace_months=months)
 
     def import_persons(self, path: str) -> DataFrame:
+        self.store.begin()
         raw = delimited.read_raw(self.spark, "persons", path)
-        result = imports.import_persons(raw, self.table("persona"))
+        name = "persona_cifrada" if self.key else "persona"
+        stored = self.store.load(name)
         if self.key:
-            self.store.publish(replace={"persona_cifrada": privacy.encrypt_columns(result.table, self.key)})
+            privacy.assert_key(stored, self.key)
+            result = imports.import_persons(raw, stored, lambda rows: privacy.encrypt_columns(rows, self.key))
         else:
-            self.store.publish(replace={"persona": result.table})
-        return result.rejects
+            result = imports.import_persons(raw, stored)
+        fresh, rejects = self._reported("persona", result.rejects)
+        self.store.publish(replace={name: result.table}, append={"rechazo": fresh})
+        return rejects
 
     def import_charges(
         self, path: str, concept_map: DataFrame, year: int, one_record_per_line: bool = False
     ) -> DataFrame:
+        self.store.begin()
         result = imports.import_charges(
             read_charges(self.spark, path, one_record_per_line),
             self.table("consorcio"),
@@ -97,22 +119,27 @@ class Ledger:
             self.table("expensa").drop(dates.month_column("periodo")),
             year,
         )
-        self.store.publish(append={"expensa": result.charges, "detalle": result.details})
-        return result.rejects
+        fresh, rejects = self._reported("expensa", result.rejects)
+        self.store.publish(append={"expensa": result.charges, "detalle": result.details, "rechazo": fresh})
+        return rejects
 
     def import_payments(self, path: str) -> DataFrame:
+        self.store.begin()
         raw = delimited.read_raw(self.spark, "payments", path)
         result = imports.import_payments(raw, self.table("unidad"), self.table("pago"))
-        self.store.publish(append={"pago": result.payments})
-        return result.rejects
+        fresh, rejects = self._reported("pago", result.rejects)
+        self.store.publish(append={"pago": result.payments, "rechazo": fresh})
+        return rejects
 
     def load_holidays(self, path: str, year: int) -> None:
+        self.store.begin()
         self.store.publish(replace={"feriado": holidays.load_holidays(self.spark, path, year)})
 
     # ------------------------------------------------------------------------------- billing
 
     def bill_month(self, year: int, month: int, issue_date: Day, skip_weekends: bool = False) -> None:
         """Add invoices and statements and set the month's send date, in one step."""
+        self.store.begin()
         names = ("expensa", "detalle", "pago", "factura", "estado", "feriado")
         bill = billing.bill_month(
             *[self.table(n) for n in names], year, month, issue_date, skip_weekends
@@ -157,7 +184,7 @@ class Ledger:
         return reports.payment_gaps(*tables, first, last, group_id)
 
     def payment_gaps_xml(
-        self, path: str, first: Day, last: Day, group_id: int | None = None, siblings: bool = False
+        self, path: str, first: Day, last: Day, group_id: int | None = None, siblings: bool = True
     ) -> None:
         lines = reports.payment_gaps_xml(self.payment_gaps(first, last, group_id), siblings)
         xml.write_xml(xml.in_document_order(lines), path, reports.ROOT_PAYMENTS)

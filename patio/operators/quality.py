@@ -82,6 +82,38 @@ FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
 ]
 
 
+# Columns that must have a value, and the longest text of a column.
+REQUIRED: dict[str, tuple[str, ...]] = {
+    "consorcio": ("id", "nombre", "domicilio", "cantidadUnidades", "m2totales"),
+    "persona": ("id",),
+    "prestador": ("id", "idConsorcio", "nombre"),
+    "unidad": ("idUF", "idConsorcio", "numeroUnidad", "coeficiente", "m2_UF"),
+    "accesoria": ("idUnidadFuncional", "m2_baulera", "m2_cochera"),
+    "pago": ("idDePago", "fechaPago", "cbu", "monto"),
+    "expensa": ("id", "idUF", "periodo", "montoTotal"),
+    "detalle": ("idExpensa", "idPrestadorServicio", "importe"),
+    "factura": ("idExpensa", "fechaEmision", "fechaVencimiento", "nroVencimiento"),
+}
+LENGTHS: dict[str, dict[str, int]] = {
+    "consorcio": {"nombre": 100, "domicilio": 100},
+    "persona": {"nombre": 100, "apellido": 100, "email": 100, "telefono": 20, "cbu_cvu": 30, "tipoTitularidad": 11},
+    "prestador": {"nombre": 100, "tipoServicio": 100, "cuenta": 100},
+    "unidad": {"departamento": 10, "cbu_cvu_actual": 30},
+    "pago": {"cbu": 30},
+    "expensa": {"modoEnvio": 50},
+    "detalle": {"nroFactura": 50, "tipo": 50, "categoria": 50},
+}
+
+
+def column_counts(df: DataFrame, table: str) -> DataFrame:
+    """One row per required or bounded column with its number of violations, from one scan."""
+    bad = {f"{c} NOT NULL": F.col(c).isNull() for c in REQUIRED.get(table, ())}
+    bad |= {f"{c} <= {n}": F.length(c) > n for c, n in LENGTHS.get(table, {}).items()}
+    sums = df.agg(*[F.count_if(rule).alias(f"_{i}") for i, rule in enumerate(bad.values())])
+    named = [F.struct(F.lit(name).alias("regla"), F.col(f"_{i}").alias("violaciones")) for i, name in enumerate(bad)]
+    return sums.select(F.explode(F.array(*named)).alias("r")).select(F.lit(table).alias("tabla"), "r.regla", "r.violaciones")
+
+
 def table_checks(table: str) -> dict[str, Column]:
     """The value rules of a table, by name."""
     c = F.col
@@ -122,6 +154,8 @@ def summary(tables: dict[str, DataFrame]) -> DataFrame:
             add(table, "unique " + ", ".join(keys), unique_violations(df, keys))
         for name, rule in table_checks(table).items():
             add(table, name, check_violations(df, rule))
+        if table in REQUIRED or table in LENGTHS:
+            parts.append(column_counts(df, table))
     for child, column, parent, parent_column in FOREIGN_KEYS:
         if child in tables and parent in tables:
             bad = foreign_key_violations(tables[child], column, tables[parent], parent_column)

@@ -33,10 +33,16 @@ def _same_key(target: DataFrame, source: DataFrame, keys: Sequence[str], fold: S
 def new_rows(
     target: DataFrame, source: DataFrame, keys: Sequence[str], fold: Sequence[str] = ()
 ) -> DataFrame:
-    """Rows of `source` whose key the target does not have."""
-    known = target.select(*[c.alias(f"_k{i}") for i, c in enumerate(key_columns(keys, fold))])
-    same = [c == F.col(f"_k{i}") for i, c in enumerate(key_columns(keys, fold))]
-    return source.join(known, same, "left_anti")
+    """Rows of `source` whose key the target does not have.
+
+    The target is first cut to the keys that the source holds. A small source is broadcast for
+    that, so that the target is only scanned, however large it is.
+    """
+    places = list(enumerate(key_columns(keys, fold)))
+    wanted = source.select(*[c.alias(f"_w{i}") for i, c in places]).distinct()
+    stored = target.select(*[c.alias(f"_k{i}") for i, c in places])
+    known = stored.join(wanted, [F.col(f"_k{i}") == F.col(f"_w{i}") for i, _ in places], "left_semi")
+    return source.join(known, [c == F.col(f"_k{i}") for i, c in places], "left_anti")
 
 
 def shaped_like(target: DataFrame, rows: DataFrame, defaults: dict[str, Column] | None = None) -> DataFrame:

@@ -9,6 +9,8 @@ tables all read it, and the raw text is not parsed again for each.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -54,6 +56,7 @@ class UnitImport(NamedTuple):
 
 UNKNOWN_GROUP = "grupo desconocido"
 REPEATED = "clave repetida"
+UNREADABLE = "importe ilegible"
 RAW_ROW = "fila"
 
 
@@ -87,6 +90,12 @@ def _known(column: str) -> Column:
     return F.col(column).isNotNull()
 
 
+def _readable(concept: str) -> Column:
+    """The amount is missing or can be read; text that cannot must not become nothing."""
+    raw = F.col(f"`{concept}`")
+    return F.coalesce(F.trim(raw) == "", F.lit(True)) | numbers.mixed_locale_amount(raw).isNotNull()
+
+
 # ---------------------------------------------------------------------------- monthly charges
 
 
@@ -97,7 +106,12 @@ def monthly_amounts(
     named = joins.group_by_name(raw, F.col(f"`{RAW_CHARGES[0]}`"), groups, "left")
     typed = named.withColumn(RAW_ROW, _raw_row(raw)).withColumn("periodo", dates.period_of(year, dates.month_number(F.col("Mes"))))
     good, bad = quality.split_valid(
-        typed, {UNKNOWN_GROUP: _known("idConsorcio"), "mes desconocido": _known("periodo")}
+        typed,
+        {
+            UNKNOWN_GROUP: _known("idConsorcio"),
+            "mes desconocido": _known("periodo"),
+            UNREADABLE: reduce(lambda a, b: a & b, map(_readable, CONCEPTS)),
+        },
     )
     amounts = good.select(
         "idConsorcio",
@@ -105,7 +119,7 @@ def monthly_amounts(
         *[numbers.mixed_locale_amount(F.col(f"`{c}`")).alias(c) for c in CONCEPTS],
     )
     key = ["idConsorcio", "periodo"]
-    rejects = _invalid(bad).unionByName(_repeated(dedup.rows_of_repeated(amounts, key)))
+    rejects = _invalid(bad).unionByName(_repeated(dedup.rows_of_repeated(good.select(*key, RAW_ROW), key)))
     return dedup.drop_repeated(amounts, key), rejects
 
 
@@ -304,8 +318,8 @@ def import_payments(raw: DataFrame, units: DataFrame, payments: DataFrame) -> Pa
     An account of several units goes to the lowest one and is reported.
     """
     good, bad = quality.split_valid(clean_payments(raw), payment_rules())
-    kept, rest = dedup.split_repeated(_typed(good), ["idDePago"])
-    fresh = upsert.new_rows(payments, kept, ["idDePago"])
+    kept, rest = dedup.split_repeated(good, ["idDePago"])
+    fresh = upsert.new_rows(payments, materialize(_typed(kept)), ["idDePago"])
     owners = joins.account_owner(units)
     linked = fresh.join(owners, "cbu", "left").withColumnRenamed("idUF", "nroUnidadFuncional")
     return PaymentImport(
@@ -349,18 +363,18 @@ def import_groups(raw: DataFrame, groups: DataFrame, reference_order: bool = Fal
     """
     rows = clean_groups(raw)
     if reference_order:
-        rows = dedup.keep_one(rows, ["nombre"], fold=["nombre"])
+        rows, rest = dedup.split_repeated(rows, ["nombre"], fold=["nombre"])
     good, bad = quality.split_valid(rows, group_rules())
-    source = _typed(good)
     if not reference_order:
-        source = dedup.keep_one(source, ["nombre"], fold=["nombre"])
-    source = materialize(source)
+        good, rest = dedup.split_repeated(good, ["nombre"], fold=["nombre"])
+    source = materialize(_typed(good))
+    rejects = _invalid(bad).unionByName(_repeated(rest, F.col("copias")))
     updated = upsert.update_matched(
         groups, source, ["nombre"], columns=["domicilio", "cantidadUnidades", "m2totales"], fold=["nombre"]
     )
     fresh = upsert.new_rows(groups, source, ["nombre"], fold=["nombre"])
     inserted = upsert.shaped_like(groups, identity.number_rows(fresh, groups, "id", ["nombre"]))
-    return TableImport(updated.unionByName(inserted), inserted, _invalid(bad))
+    return TableImport(updated.unionByName(inserted), inserted, rejects)
 
 
 # --------------------------------------------------------------------------------- providers
@@ -388,11 +402,13 @@ def import_providers(raw: DataFrame, groups: DataFrame, providers: DataFrame) ->
         },
     )
     key, fold = ["idConsorcio", "nombre", "tipoServicio"], ["nombre", "tipoServicio"]
-    source = materialize(dedup.keep_one(_typed(good), key, fold=fold))
+    kept, rest = dedup.split_repeated(good, key, fold=fold)
+    source = materialize(_typed(kept))
     updated = upsert.update_matched(providers, source, key, columns=["cuenta"], fold=fold)
     fresh = upsert.new_rows(providers, source, key, fold=fold)
     inserted = upsert.shaped_like(providers, identity.number_rows(fresh, providers, "id", key))
-    return TableImport(updated.unionByName(inserted), inserted, _invalid(bad))
+    rejects = _invalid(bad).unionByName(_repeated(rest, F.col("copias")))
+    return TableImport(updated.unionByName(inserted), inserted, rejects)
 
 
 # ----------------------------------------------------------------------------- unit accounts
@@ -446,19 +462,18 @@ def import_unit_accounts(raw: DataFrame, groups: DataFrame, units: DataFrame) ->
         "cuenta": _digits_or_null("cbu_cvu_actual"),
     }
     good, bad = quality.split_valid(clean_unit_accounts(raw), rules)
-    one = dedup.keep_one(_typed(good), ["consorcio", "numeroUnidad"], fold=["consorcio"])
+    one, rest = dedup.split_repeated(good, ["consorcio", "numeroUnidad"], fold=["consorcio"])
     named = joins.group_by_name(one, F.col("consorcio"), groups, "left")
     source, lost = quality.split_valid(named, {UNKNOWN_GROUP: _known("idConsorcio")})
-    source = materialize(source)
+    source = materialize(_typed(source))
     state = _upsert_units(
         units,
         source.drop("consorcio"),
         ["departamento", "cbu_cvu_actual"],
         {"coeficiente": F.lit(0), "m2_UF": F.lit(1)},
     )
-    return UnitAccountImport(
-        state, _changed_units(state, source), _invalid(bad).unionByName(_invalid(lost))
-    )
+    rejects = _invalid(bad).unionByName(_invalid(lost)).unionByName(_repeated(rest, F.col("copias")))
+    return UnitAccountImport(state, _changed_units(state, source), rejects)
 
 
 # ----------------------------------------------------------------------------------- persons
@@ -490,10 +505,16 @@ def person_rules() -> dict[str, Column]:
     }
 
 
-def import_persons(raw: DataFrame, persons: DataFrame) -> TableImport:
-    """Full overwrite by dni; a dni seen twice in the file is dropped entirely."""
+def import_persons(
+    raw: DataFrame, persons: DataFrame, sealed: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> TableImport:
+    """Full overwrite by dni; a dni seen twice in the file is dropped entirely.
+
+    `sealed` brings the file's rows to the form of `persons`, such as encrypted columns; rows
+    that do not change are carried as they are.
+    """
     good, bad = quality.split_valid(clean_persons(raw), person_rules())
-    source = materialize(dedup.drop_repeated(_typed(good), ["dni"]))
+    source = materialize(sealed(dedup.drop_repeated(_typed(good), ["dni"])))
     updated = upsert.update_matched(persons, source, ["dni"])
     fresh = upsert.new_rows(persons, source, ["dni"])
     inserted = upsert.shaped_like(persons, identity.number_rows(fresh, persons, "id", ["dni"]))

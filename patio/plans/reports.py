@@ -381,7 +381,7 @@ def payment_gaps_nested(
     )
 
 
-def payment_gaps_xml(gaps: DataFrame, siblings: bool = False) -> DataFrame:
+def payment_gaps_xml(gaps: DataFrame, siblings: bool = True) -> DataFrame:
     """Lines of the payment document from `payment_gaps`, with their order columns."""
     unit = ["idUF", "numeroUnidad", "consorcio"]
     return xml.to_xml_nested(

@@ -45,6 +45,7 @@ TABLES: dict[str, str] = {
         f"saldoDeudor {MONEY}, saldoAdelantado {MONEY}, saldoTotal {MONEY}"
     ),
     "feriado": "fecha date, tipo string, nombre string",
+    "rechazo": "origen string, motivo string, fila string, copias bigint",
 }
 
 # The seven monthly amounts of a building, in file order.

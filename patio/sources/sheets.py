@@ -22,12 +22,12 @@ def read_sheet_range(
     spark: SparkSession,
     path: str,
     first_row: int,
-    last_row: int,
+    last_row: int | None,
     first_col: int,
     n_cols: int,
     sep: str = ",",
 ) -> DataFrame:
-    """A cell range without header as F1..Fn.
+    """A cell range without header as F1..Fn; without a last row it goes to the end.
 
     The export carries the sheet's row number in front, because the order in which files are
     read says nothing; column 1 is the sheet's column A.
@@ -36,6 +36,7 @@ def read_sheet_range(
     names = ["fila"] + [f"c{i}" for i in range(1, width + 1)]
     cells = read_delimited(spark, path, sep, names, header=False)
     row = F.col("fila").try_cast("bigint")
-    return cells.filter(row.between(first_row, last_row)).select(
+    inside = row >= first_row if last_row is None else row.between(first_row, last_row)
+    return cells.filter(inside).select(
         *[F.col(f"c{first_col + i}").alias(f"F{i + 1}") for i in range(n_cols)]
     )

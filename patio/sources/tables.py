@@ -10,6 +10,7 @@ import datetime as dt
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,11 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._read: int | None = None
+
+    def begin(self) -> None:
+        """Forget what was read before, so that the next publish rests on later reads only."""
+        self._read = None
 
     def _path(self, *parts: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
@@ -39,9 +45,15 @@ class TableStore:
         names = [status.getPath().getName() for status in fs.listStatus(folder)]
         return sorted(n for n in names if n.endswith(".json"))
 
-    def current(self) -> dict[str, list[dict]]:
-        """Versions that make up each table now, with the months replaced since."""
-        commits = self._commits()
+    def current(self, commits: list[str] | None = None) -> dict[str, list[dict]]:
+        """Versions that make up each table now, with the months replaced since.
+
+        What was read first since the last publish of this store is what the next one must
+        still find (see publish).
+        """
+        commits = self._commits() if commits is None else commits
+        if self._read is None:
+            self._read = len(commits)
         if not commits:
             return {}
         text = self.spark.read.text(f"{self.root}/_commits/{commits[-1]}", wholetext=True)
@@ -100,14 +112,18 @@ class TableStore:
         """Replace tables, append to others and replace months of others, in one step.
 
         Only the given rows are written; folders already published stay as they are, and a
-        replaced month is left out when they are read.
+        replaced month is left out when they are read. It fails where another writer has
+        published since this store first read a table for it.
         """
         replace_months = replace_months or {}
         unknown = {*(replace or {}), *(append or {}), *replace_months} - set(TABLES)
         if unknown:
             raise KeyError(f"no such table: {sorted(unknown)}")
-        state = self.current()
         seen = self._commits()
+        state, read = self.current(seen), self._read
+        if read != len(seen):
+            self._read = None
+            raise RuntimeError("another publish came first; run this one again")
         for name, df in (replace or {}).items():
             state[name] = [{"version": self._write(name, df), "without": []}]
         for name, df in (append or {}).items():
@@ -119,6 +135,7 @@ class TableStore:
                 for e in state.get(name, [])
             ]
             state[name] = [*kept, {"version": self._write(name, df), "without": []}]
+        self._read = None
         self._commit(state, len(seen))
 
     def overwrite(self, name: str, df: DataFrame | None = None) -> None:
@@ -130,11 +147,9 @@ class TableStore:
         fs = self._fs()
         fs.mkdirs(self._path("_commits"))
         # Creating without overwrite fails when another writer took the number meanwhile.
-        draft = self._path("_commits", f".{uuid.uuid4().hex}")
-        out = fs.create(draft, False)
+        try:
+            out = fs.create(self._path("_commits", f"{number:012d}.json"), False)
+        except Py4JJavaError as taken:
+            raise RuntimeError("another publish came first; run this one again") from taken
         out.write(bytearray(json.dumps(state).encode()))
         out.close()
-        final = self._path("_commits", f"{number:012d}.json")
-        if fs.exists(final) or not fs.rename(draft, final):
-            fs.delete(draft, False)
-            raise RuntimeError("another publish came first; run this one again")

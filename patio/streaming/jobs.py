@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from patio.functions.dates import month_column, month_start
+from patio.operators.upsert import new_rows, shaped_like
 from patio.plans.imports import import_payments
 from patio.plans.linking import link_payments, newly_linked
 from patio.schemas import RAW_PAYMENTS, text_schema
@@ -34,8 +35,12 @@ def ingest_payments(
     )
 
     def import_batch(batch: DataFrame, _: int) -> None:
+        store.begin()
         found = import_payments(batch, store.load("unidad"), store.load("pago"))
-        store.publish(append={"pago": found.payments})
+        stored = store.load("rechazo")
+        rejects = materialize(found.rejects.withColumn("origen", F.lit("pago")))
+        fresh = new_rows(stored, rejects, ["origen", "motivo", "fila"])
+        store.publish(append={"pago": found.payments, "rechazo": shaped_like(stored, fresh)})
 
     return (
         files.writeStream.foreachBatch(import_batch)
@@ -60,6 +65,7 @@ def linked_months(store: TableStore, changed: DataFrame) -> dict[str, tuple[Data
 
 def link_batch(store: TableStore, changed: DataFrame) -> None:
     """Tie waiting payments and rewrite only the months that have some."""
+    store.begin()
     months = linked_months(store, changed)
     if months:
         store.publish(replace_months=months)

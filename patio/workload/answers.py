@@ -91,8 +91,11 @@ TABLES: dict[str, str] = {
                CAST(max(importe) AS DECIMAL(12,2)) AS monto
         FROM linea GROUP BY 1, 2, 3""",
     "area": """
-        SELECT u.idUF, u.idConsorcio, u.m2_UF + coalesce(sum(a.m2_baulera + a.m2_cochera), 0) AS m2
-        FROM uf u LEFT JOIN accesoria a ON a.idUnidadFuncional = u.idUF GROUP BY u.idUF, u.idConsorcio, u.m2_UF""",
+        SELECT idUF, any_value(idConsorcio) AS idConsorcio, sum(pieza) AS m2
+        FROM (SELECT idUF, idConsorcio, m2_UF AS pieza FROM uf
+              UNION ALL SELECT idUnidadFuncional, NULL, m2_baulera FROM accesoria
+              UNION ALL SELECT idUnidadFuncional, NULL, m2_cochera FROM accesoria)
+        GROUP BY idUF""",
     # Percent in 1e-12 and shares in cents are whole numbers, rounded half up.
     "parte": """
         SELECT a.idUF, a.idConsorcio, m.periodo, m.orden,

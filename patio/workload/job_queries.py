@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patio.functions import privacy
+from patio.functions.dates import MONTHS
 from patio.operators import quality
 from patio.plans import billing, imports, linking
 from patio.schemas import RAW_CHARGES
@@ -72,6 +75,36 @@ def payment_import(d: Domain) -> imports.PaymentImport:
     return imports.import_payments(raw.payments(d), d.units, stored_payments(d))
 
 
+def balance(raw_rows: DataFrame, done: imports.TableImport, before: DataFrame, changed: list[str]) -> DataFrame:
+    """Raw rows, and how many of them are neither taken (new or changed) nor rejected."""
+    old = before.select("id", *[F.col(c).alias(f"_{c}") for c in changed])
+    differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_{c}")) for c in changed])
+    taken = done.table.join(old, "id", "left").where(differs)
+    count = lambda df, value: df.agg(F.coalesce(value, F.lit(0)).alias("n")).withColumn("k", F.lit(1))
+    parts = [
+        count(raw_rows, F.count(F.lit(1))).withColumnRenamed("n", "filas"),
+        count(taken, F.count(F.lit(1))).withColumnRenamed("n", "tomadas"),
+        count(done.rejects, F.sum("copias")).withColumnRenamed("n", "rechazadas"),
+    ]
+    return reduce(lambda a, b: a.join(b, "k"), parts).select(
+        "filas", (F.col("filas") - F.col("tomadas") - F.col("rechazadas")).alias("sobrantes")
+    )
+
+
+def unit_account_rejects(d: Domain) -> DataFrame:
+    done = imports.import_unit_accounts(raw.unit_accounts(d), d.groups, stored_units(d))
+    return done.rejects.groupBy("motivo").agg(F.sum("copias").alias("copias"))
+
+
+def charge_rejects(d: Domain) -> DataFrame:
+    """Records of some months carry an amount that cannot be read."""
+    rows = charge_rows(d)
+    broken = F.lower(F.trim("Mes")).isin([m for i, m in enumerate(MONTHS, 1) if i % 5 == 2])
+    rows = rows.withColumn("LIMPIEZA", F.when(broken, F.lit("abc")).otherwise(F.col("LIMPIEZA")))
+    _, rejects = imports.monthly_amounts(rows, d.groups, F.col("anio"))
+    return rejects.groupBy("motivo").agg(F.sum("copias").alias("copias"))
+
+
 def month_bill(d: Domain) -> billing.MonthBill:
     """A month where some units already have their invoice and statement."""
     done = d.units.filter(F.col("departamento") == BILLED_APARTMENT).select("idUF")
@@ -124,6 +157,10 @@ def pii(d: Domain) -> DataFrame:
     return right.select("dni", *privacy.PERSONAL).join(wrong.select("dni", hidden), "dni")
 
 
+# A charge with lines has both sums; one without has no row here.
+LINE_SUMS = """
+SELECT idExpensa, coalesce(sum(importe) FILTER (categoria <> 'EXTRAORDINARIO'), 0) AS comun,
+       coalesce(sum(importe) FILTER (categoria = 'EXTRAORDINARIO'), 0) AS extra FROM detalle GROUP BY idExpensa"""
 GOOD_PAYMENT = "o_orderkey % 50 <> 7 AND o_orderkey % 41 <> 5 AND o_orderkey % 43 <> 11 AND o_orderkey % 37 <> 3"
 PAYMENT_COLUMNS = """
 SELECT o_orderkey AS idDePago, t.idUF AS nroUnidadFuncional, CAST(o_orderdate AS DATE) AS fechaPago,
@@ -316,6 +353,32 @@ UNION ALL
 SELECT * FROM accesoria WHERE idUnidadFuncional NOT IN (SELECT id FROM fuente)""",
         ),
     ),
+    "job_i3_rejects": Entry(
+        lambda d: balance(raw.groups(d), imports.import_groups(raw.groups(d), d.groups), d.groups, ["domicilio"]),
+        answer("", "SELECT count(*) AS filas, CAST(0 AS BIGINT) AS sobrantes FROM supplier"),
+    ),
+    "job_i5_rejects": Entry(
+        unit_account_rejects,
+        answer(
+            "",
+            f"""
+SELECT motivo, count(*) AS copias FROM (
+  SELECT CASE WHEN c_custkey % 17 = 3 THEN 'cuenta' WHEN c_custkey % 23 = 7 THEN 'grupo desconocido' END AS motivo
+  FROM customer, range(CASE WHEN c_custkey % 19 = 6 THEN 2 ELSE 1 END) r(copia)
+  WHERE copia = 0 OR c_custkey % 17 = 3
+  UNION ALL SELECT 'clave repetida' FROM customer WHERE c_custkey % 19 = 6 AND c_custkey % 17 <> 3)
+WHERE motivo IS NOT NULL GROUP BY motivo""",
+        ),
+    ),
+    "job_i1_rejects": Entry(
+        charge_rejects,
+        answer(
+            "monto",
+            f"""
+SELECT 'importe ilegible' AS motivo, count(*) AS copias
+FROM (SELECT DISTINCT idConsorcio, periodo FROM monto) WHERE month(periodo) % 5 = 2""",
+        ),
+    ),
     "job_t1_link_payments": Entry(
         lambda d: linking.link_payments(d.payments, d.units.select("idUF", "cbu_cvu_actual")),
         answer(
@@ -335,10 +398,10 @@ FROM pago p LEFT JOIN titular t USING (cbu)""",
             f"""
 SELECT e.id AS idExpensa, DATE '{ISSUED}' AS fechaEmision, DATE '{ISSUED}' + 10 AS fechaVencimiento,
        1 AS nroVencimiento, CAST(0 AS DECIMAL(18,2)) AS interesPorMora,
-       CAST(sum(CASE WHEN d.categoria = 'EXTRAORDINARIO' THEN 0 ELSE d.importe END) AS DECIMAL(18,2)) AS totalGastoOrdinario,
-       CAST(sum(CASE WHEN d.categoria = 'EXTRAORDINARIO' THEN d.importe ELSE 0 END) AS DECIMAL(18,2)) AS totalGastoExtraordinario
-FROM expensa e LEFT JOIN detalle d ON d.idExpensa = e.id JOIN uf USING (idUF)
-WHERE e.periodo = DATE '{YEAR}-{MONTH:02d}-01' AND uf.departamento <> '{BILLED_APARTMENT}' GROUP BY e.id""",
+       CAST(g.comun AS DECIMAL(18,2)) AS totalGastoOrdinario,
+       CAST(coalesce(g.extra, 0) AS DECIMAL(18,2)) AS totalGastoExtraordinario
+FROM expensa e JOIN uf USING (idUF) LEFT JOIN ({LINE_SUMS}) g ON g.idExpensa = e.id
+WHERE e.periodo = DATE '{YEAR}-{MONTH:02d}-01' AND uf.departamento <> '{BILLED_APARTMENT}'""",
         ),
     ),
     "job_b1_statements": Entry(

@@ -153,6 +153,52 @@ def merge_source(d: Domain) -> DataFrame:
     return dedup.repeated_keys(good, ["idConsorcio", "numeroUnidad"])
 
 
+def dirty_tables(d: Domain) -> dict[str, DataFrame]:
+    """Tables with every kind of fault: units without number or too long, payments of no unit."""
+    k = F.col("numeroUnidad")
+    units = d.units.withColumns(
+        {
+            "departamento": F.when(k % 9 == 1, F.lit("departamento 12")).otherwise(F.col("departamento")),
+            "coeficiente": F.when(k % 11 == 2, F.lit(None)).otherwise(F.col("coeficiente")),
+        }
+    )
+    payments = d.payments.withColumn(
+        "nroUnidadFuncional", F.when(F.col("idDePago") % 13 == 3, F.lit(-1)).otherwise(F.col("nroUnidadFuncional"))
+    )
+    return {"unidad": units, "pago": payments.unionByName(payments.where("idDePago % 17 = 4"))}
+
+
+# Violations by rule; a rule that nothing breaks counts 0.
+SUMMARY = answer(
+    "uf pago",
+    """
+WITH u AS (
+  SELECT * REPLACE (CASE WHEN numeroUnidad % 9 = 1 THEN 'departamento 12' ELSE departamento END AS departamento,
+                    CASE WHEN numeroUnidad % 11 = 2 THEN NULL ELSE coeficiente END AS coeficiente) FROM uf),
+p AS (
+  SELECT * REPLACE (CASE WHEN idDePago % 13 = 3 THEN -1 ELSE nroUnidadFuncional END AS nroUnidadFuncional)
+  FROM pago, range(CASE WHEN idDePago % 17 = 4 THEN 2 ELSE 1 END) r(copia))
+SELECT v.tabla, v.regla, CAST(v.violaciones AS BIGINT) AS violaciones FROM (
+  SELECT 'unidad' AS tabla, regla, violaciones FROM (SELECT
+    sum(1) - count(DISTINCT idUF) AS "unique idUF",
+    sum(1) - count(DISTINCT (idConsorcio, numeroUnidad)) AS "unique idConsorcio, numeroUnidad",
+    count_if(m2_UF <= 0) AS "m2_UF > 0", count_if(coeficiente < 0) AS "coeficiente >= 0",
+    count_if(regexp_matches(cbu_cvu_actual, '[^0-9]')) AS "cbu_cvu_actual digits",
+    count_if(idUF IS NULL) AS "idUF NOT NULL", count_if(idConsorcio IS NULL) AS "idConsorcio NOT NULL",
+    count_if(numeroUnidad IS NULL) AS "numeroUnidad NOT NULL", count_if(coeficiente IS NULL) AS "coeficiente NOT NULL",
+    count_if(m2_UF IS NULL) AS "m2_UF NOT NULL", count_if(length(departamento) > 10) AS "departamento <= 10",
+    count_if(length(cbu_cvu_actual) > 30) AS "cbu_cvu_actual <= 30" FROM u)
+  UNPIVOT (violaciones FOR regla IN (COLUMNS(*)))
+  UNION ALL
+  SELECT 'pago', regla, violaciones FROM (SELECT
+    sum(1) - count(DISTINCT idDePago) AS "unique idDePago",
+    count_if(nroUnidadFuncional NOT IN (SELECT idUF FROM u)) AS "nroUnidadFuncional -> unidad",
+    count_if(idDePago IS NULL) AS "idDePago NOT NULL", count_if(fechaPago IS NULL) AS "fechaPago NOT NULL",
+    count_if(cbu IS NULL) AS "cbu NOT NULL", count_if(monto IS NULL) AS "monto NOT NULL",
+    count_if(length(cbu) > 30) AS "cbu <= 30" FROM p)
+  UNPIVOT (violaciones FOR regla IN (COLUMNS(*)))) v""",
+)
+
 QUERIES: dict[str, Entry] = {
     # -------------------------------------------------------------------------------- writes
     "w_insert_new": Entry(
@@ -306,17 +352,20 @@ FROM monto JOIN concepto USING (orden) WHERE monto > 0""",
     "agg_conditional_sum": Entry(
         lambda d: billing.new_invoices(
             d.charges,
-            d.details.filter("tipo IS NOT NULL AND categoria = 'EXTRAORDINARIO'"),
+            d.details.filter("tipo IS NOT NULL"),
             d.charges.limit(0).select(F.col("id").alias("idExpensa")),
             LAST_DAY,
         ).select("idExpensa", "totalGastoOrdinario", "totalGastoExtraordinario"),
         answer(
             "expensa detalle",
             """
-SELECT e.id AS idExpensa,
-       CAST(sum(CASE WHEN d.categoria = 'EXTRAORDINARIO' THEN 0 ELSE d.importe END) AS DECIMAL(18,2)) AS totalGastoOrdinario,
-       CAST(sum(CASE WHEN d.categoria = 'EXTRAORDINARIO' THEN d.importe ELSE 0 END) AS DECIMAL(18,2)) AS totalGastoExtraordinario
-FROM expensa e LEFT JOIN (SELECT * FROM detalle WHERE categoria = 'EXTRAORDINARIO') d ON d.idExpensa = e.id GROUP BY e.id""",
+WITH grupo AS (
+  SELECT idExpensa, categoria = 'EXTRAORDINARIO' AS extra, sum(importe) AS total
+  FROM detalle WHERE tipo IS NOT NULL GROUP BY 1, 2),
+dos AS (SELECT idExpensa, sum(total) FILTER (NOT extra) AS comun, sum(total) FILTER (extra) AS extra FROM grupo GROUP BY 1)
+SELECT id AS idExpensa, CAST(CASE WHEN dos.idExpensa IS NOT NULL THEN coalesce(comun, 0) END AS DECIMAL(18,2)) AS totalGastoOrdinario,
+       CAST(coalesce(extra, 0) AS DECIMAL(18,2)) AS totalGastoExtraordinario
+FROM expensa LEFT JOIN dos ON dos.idExpensa = id""",
         ),
     ),
     "agg_count_distinct": Entry(
@@ -468,6 +517,7 @@ SELECT idUF, 'cbu_cvu_actual NULL' AS motivo FROM uf WHERE cbu_cvu_actual IS NUL
 UNION ALL SELECT idUF, 'departamento > 8' FROM uf WHERE length(departamento) > 8""",
         ),
     ),
+    "dq_summary": Entry(lambda d: quality.summary(dirty_tables(d)), SUMMARY),
     "dq_default": Entry(
         lambda d: quality.with_defaults(
             d.units.join(d.accessories, F.col("idUF") == F.col("idUnidadFuncional"), "left").select(

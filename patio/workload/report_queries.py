@@ -48,8 +48,11 @@ def building_profile(d: Domain) -> DataFrame:
 
 
 def xml_nested(d: Domain) -> DataFrame:
-    lines = reports.payment_gaps_xml(gaps(d))
-    return xml.in_document_order(lines)
+    return xml.in_document_order(reports.payment_gaps_xml(gaps(d), siblings=False))
+
+
+def xml_siblings(d: Domain) -> DataFrame:
+    return xml.in_document_order(reports.payment_gaps_xml(gaps(d)))
 
 
 PIVOT_CELLS = ",\n".join(
@@ -65,14 +68,17 @@ FROM (SELECT c.nombre AS consorcio, u.departamento, strftime(p.fechaPago, '%Y-%m
       FROM pago p JOIN uf u ON u.idUF = p.nroUnidadFuncional JOIN consorcio c ON c.id = u.idConsorcio) b
 GROUP BY consorcio, departamento"""
 
+# Each unit says what rooms it has; buildings count their units.
 PROFILE = """
-WITH perfil AS (
-  SELECT c.id, c.nombre, count(DISTINCT u.idUF) AS cantUF,
-         CAST(sum(CASE WHEN a.baulera THEN 1 ELSE 0 END) AS BIGINT) AS ufs_con_baulera,
-         CAST(sum(CASE WHEN a.cochera THEN 1 ELSE 0 END) AS BIGINT) AS ufs_con_cochera,
-         CAST(sum(CASE WHEN a.baulera OR a.cochera THEN 1 ELSE 0 END) AS BIGINT) AS ufs_con_accesorios
-  FROM consorcio c JOIN uf u ON u.idConsorcio = c.id
-  LEFT JOIN accesoria a ON a.idUnidadFuncional = u.idUF GROUP BY c.id, c.nombre)
+WITH cuartos AS (
+  SELECT idUnidadFuncional AS idUF, bool_or(baulera) AS guarda, bool_or(cochera) AS estaciona
+  FROM accesoria GROUP BY ALL),
+perfil AS (
+  SELECT idConsorcio AS id, any_value(nombre) AS nombre, count(*) AS cantUF,
+         count(*) FILTER (guarda) AS ufs_con_baulera, count(*) FILTER (estaciona) AS ufs_con_cochera,
+         count(*) FILTER (guarda OR estaciona) AS ufs_con_accesorios
+  FROM (SELECT idUF, idConsorcio FROM uf) LEFT JOIN cuartos USING (idUF)
+  JOIN (SELECT id AS idConsorcio, nombre FROM consorcio) USING (idConsorcio) GROUP BY idConsorcio)
 """
 GAPS = """
   SELECT u.idUF, u.numeroUnidad, c.nombre AS consorcio, p.idDePago, p.fechaPago AS fecha,
@@ -154,20 +160,19 @@ SELECT * FROM puestos WHERE rango <= 5""",
         answer(
             "persona uf pago expensa",
             f"""
-WITH m AS (
-  SELECT per.*, u.idUF FROM persona per JOIN uf u ON u.cbu_cvu_actual = per.cbu_cvu
-  WHERE per.tipoTitularidad = 'Inquilino'),
-pag AS (
-  SELECT m.id, sum(p.monto) AS total FROM m JOIN pago p ON p.nroUnidadFuncional = m.idUF
-  WHERE p.fechaPago <= DATE '{CUTOFF}' GROUP BY m.id),
-exp AS (
-  SELECT m.id, sum(e.montoTotal) AS total FROM m JOIN expensa e ON e.idUF = m.idUF
-  WHERE e.periodo <= last_day(DATE '{CUTOFF}') GROUP BY m.id)
-SELECT nombre, apellido, dni, email, telefono,
-       CAST(coalesce(pag.total, 0) AS DECIMAL(28,2)) AS pagos, CAST(coalesce(exp.total, 0) AS DECIMAL(28,2)) AS expen,
-       CAST(coalesce(exp.total, 0) - coalesce(pag.total, 0) AS DECIMAL(28,2)) AS deuda
-FROM m LEFT JOIN pag USING (id) LEFT JOIN exp USING (id)
-WHERE coalesce(exp.total, 0) - coalesce(pag.total, 0) > 0
+WITH movimiento AS (
+  SELECT idUF, montoTotal AS debe, 0 AS haber FROM expensa
+  WHERE periodo < date_trunc('month', DATE '{CUTOFF}') + INTERVAL 1 MONTH
+  UNION ALL
+  SELECT nroUnidadFuncional, 0, monto FROM pago WHERE fechaPago <= DATE '{CUTOFF}'),
+cuenta AS (
+  SELECT cbu_cvu_actual AS cbu_cvu, count(DISTINCT idUF) AS unidades, sum(debe) AS debe, sum(haber) AS haber
+  FROM uf LEFT JOIN movimiento USING (idUF) GROUP BY cbu_cvu_actual)
+-- One row for each unit of the account.
+SELECT nombre, apellido, dni, email, telefono, CAST(haber AS DECIMAL(28,2)) AS pagos,
+       CAST(debe AS DECIMAL(28,2)) AS expen, CAST(debe - haber AS DECIMAL(28,2)) AS deuda
+FROM persona JOIN cuenta USING (cbu_cvu), range(unidades)
+WHERE tipoTitularidad = 'Inquilino' AND debe > haber
 ORDER BY deuda DESC, apellido, nombre, dni LIMIT 20""",
         ),
     ),
@@ -201,6 +206,18 @@ FROM (SELECT DISTINCT idUF, numeroUnidad, consorcio FROM g)
 UNION ALL SELECT '</UF>' FROM (SELECT DISTINCT idUF, numeroUnidad, consorcio FROM g)""",
         ),
     ),
+    "w_xml_siblings": Entry(
+        xml_siblings,
+        answer(
+            "pago uf consorcio",
+            f"""
+WITH g AS ({GAPS})
+SELECT '<pago fecha="' || CAST(fecha AS VARCHAR) || '"' ||
+       coalesce(' dias_hasta_siguiente="' || dias_hasta_siguiente || '"', '') || '/>' AS xml FROM g
+UNION ALL
+SELECT DISTINCT '<UF idUF="' || idUF || '" nro="' || numeroUnidad || '" consorcio="' || consorcio || '"/>' FROM g""",
+        ),
+    ),
     "q_a1_both": Entry(
         lambda d: profile.with_both(building_profile(d)),
         _profile_sql("ufs_con_baulera, ufs_con_cochera", "ufs_con_baulera > 0 AND ufs_con_cochera > 0"),

@@ -25,9 +25,9 @@ def test_mixed_locale_amounts(spark):
     got = apply(
         spark,
         numbers.mixed_locale_amount,
-        ["22,648.59", "33.706,04", "127,080,00", "0,00", "1.500", "-12,50", "", "x", None, " 7,25 "],
+        ["31,905.20", "48.117,63", "254,900,00", "0,00", "1.500", "-12,50", "", "x", None, " 7,25 "],
     )
-    assert got == money("22648.59", "33706.04", "127080.00", "0.00", "1500", "-12.50", None, None, None, "7.25")
+    assert got == money("31905.20", "48117.63", "254900.00", "0.00", "1500", "-12.50", None, None, None, "7.25")
 
 
 def test_payment_amount_is_another_rule(spark):
@@ -55,10 +55,11 @@ def test_dates(spark):
     got = apply(
         spark,
         dates.parse_date,
-        ["25/04/2025", "5/4/2025", "2025-04-25 10:00:00", "2025-04-25", "2025-13-45", "", None],
+        ["25/04/2025", "5/4/2025", "2025-04-25 10:00:00", "2025-04-25", "20250425", "25-04-2025", "25.4.2025", "25/04/2025 10:00"],
     )
     d = dt.date
-    assert got == [d(2025, 4, 25), d(2025, 4, 5), d(2025, 4, 25), d(2025, 4, 25), None, None, None]
+    assert got == [d(2025, 4, 25), d(2025, 4, 5), *[d(2025, 4, 25)] * 6]
+    assert apply(spark, dates.parse_date, ["2025-13-45", "2025-04", "20251345", "25/04-2025", "", None]) == [None] * 6
 
 
 def test_months(spark):
@@ -76,7 +77,7 @@ def test_text(spark):
     assert apply(spark, text.digits_only, ["12", "", "1x", None]) == [True, True, False, None]
     assert apply(spark, text.yes_flag, [" Si ", "NO", None]) == [True, False, False]
     assert apply(spark, text.tenure_label, ['"1"', "2", None]) == ["Inquilino", "Propietario", "Propietario"]
-    assert apply(spark, match_key, ["Azcuenaga ", "AZCUENAGA"]) == ["azcuenaga", "azcuenaga"]
+    assert apply(spark, match_key, ["Acacias ", "ACACIAS"]) == ["acacias", "acacias"]
 
 
 def test_share_of_nothing_is_zero(spark):

@@ -21,8 +21,8 @@ def rejected(df):
 def groups(table):
     return table(
         "consorcio",
-        {"id": 1, "nombre": "Alberdi", "domicilio": "x", "cantidadUnidades": 2, "m2totales": 100},
-        {"id": 2, "nombre": "Unzue", "domicilio": "y", "cantidadUnidades": 1, "m2totales": 50},
+        {"id": 1, "nombre": "Robledal", "domicilio": "x", "cantidadUnidades": 2, "m2totales": 100},
+        {"id": 2, "nombre": "Tilos", "domicilio": "y", "cantidadUnidades": 1, "m2totales": 50},
     )
 
 
@@ -89,32 +89,60 @@ def test_linking_moves_only_waiting_payments(table, units):
     assert sorted((r.idDePago, r.nroUnidadFuncional) for r in linked.collect()) == [(1, 1), (2, 3), (3, None)]
 
 
+def test_unreadable_amounts(raw, groups):
+    """Text that is no amount is rejected with its row; a missing amount is not."""
+    rows = raw(
+        schemas.RAW_CHARGES,
+        ("Tilos", "mayo", "abc", "1", None, None, None, None, None),
+        ("Tilos", "junio", "99999999999,00", None, None, None, None, None, None),
+        ("Tilos", "julio", "10,00", " ", None, None, None, None, None),
+    )
+    amounts, rejects = imports.monthly_amounts(rows, groups, 2025)
+    assert [r.periodo.month for r in amounts.collect()] == [7]
+    found = rejects.collect()
+    assert {r.motivo for r in found} == {imports.UNREADABLE} and '"abc"' in "".join(r.fila for r in found)
+
+
+def test_target_is_only_scanned(spark):
+    """A small source leaves the target's side without an exchange."""
+    from patio.operators import upsert
+
+    target = spark.range(0, 2_000_000).select(F.col("id"), F.col("id").cast("string").alias("x"))
+    fresh = upsert.new_rows(target, spark.createDataFrame([(5,), (2_000_001,)], "id long"), ["id"])
+    assert [r.id for r in fresh.collect()] == [2_000_001]
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    semi = final[final.index("LeftSemi") :]
+    assert "BroadcastHashJoin" in final[: final.index("LeftSemi")].splitlines()[-1]
+    assert "Range (0, 2000000" in semi and "Exchange hashpartitioning" not in semi[: semi.index("Range (0, 2000000")]
+
+
 # -------------------------------------------------------------------------------------- groups
 
 
 def test_groups(raw, groups):
     rows = raw(
         schemas.RAW_GROUPS,
-        ("a", " Pereyra ", "Calle 1", "12", "1.281"),
-        ("a", "alberdi", " Calle 2", "5", "300"),
+        ("a", " Palmeras ", "Calle 1", "12", "1.281"),
+        ("a", "robledal", " Calle 2", "5", "300"),
         ("a", "Mal", "Calle 2", "0", "300"),
         ("a", "Mal2", "Calle 2", "5", "x"),
         ("a", " ", "Calle 2", "5", "3"),
-        ("a", "Azcuenaga", "Calle 8", "9", "900"),
-        ("a", "AZCUENAGA", "", "9", "900"),
+        ("a", "Acacias", "Calle 8", "9", "900"),
+        ("a", "ACACIAS", "", "9", "900"),
     )
     result = imports.import_groups(rows, groups)
     got = sorted(tuple(r) for r in result.table.collect())
     assert got == [
-        (1, "Alberdi", "Calle 2", 5, 300),
-        (2, "Unzue", "y", 1, 50),
-        (3, "Azcuenaga", "Calle 8", 9, 900),
-        (4, "Pereyra", "Calle 1", 12, 1281),
+        (1, "Robledal", "Calle 2", 5, 300),
+        (2, "Tilos", "y", 1, 50),
+        (3, "Acacias", "Calle 8", 9, 900),
+        (4, "Palmeras", "Calle 1", 12, 1281),
     ]
     assert rejected(result.rejects) == [("domicilio", 1), ("m2", 1), ("nombre", 1), ("unidades", 1)]
     # Keeping one row per name before checking loses the name whose kept row is invalid.
     lost = imports.import_groups(rows, groups, reference_order=True)
-    assert "azcuenaga" not in {r.nombre.lower() for r in lost.table.collect()}
+    assert "acacias" not in {r.nombre.lower() for r in lost.table.collect()}
     again = imports.import_groups(rows, result.table)
     assert again.inserted.count() == 0 and sorted(tuple(r) for r in again.table.collect()) == got
 
@@ -126,12 +154,12 @@ def test_providers(raw, groups, table):
     known = table("prestador", {"id": 9, "idConsorcio": 1, "nombre": "Edesur", "tipoServicio": "Luz", "cuenta": "5"})
     rows = raw(
         schemas.RAW_PROVIDERS,
-        ("LUZ ", "edesur", "-", "ALBERDI"),
-        ("Agua", "Aysa", "Cuenta 0012.345", " Unzue "),
-        ("Agua", "aysa ", "Cuenta 0012.345", "Unzue"),
-        ("Gas", "Metro", "1" * 22, "Unzue"),
+        ("LUZ ", "edesur", "-", "ROBLEDAL"),
+        ("Agua", "Aysa", "Cuenta 0012.345", " Tilos "),
+        ("Agua", "aysa ", "Cuenta 0012.345", "Tilos"),
+        ("Gas", "Metro", "1" * 22, "Tilos"),
         ("Gas", "Metro", "1", "Nadie"),
-        (" ", "Metro", "1", "Unzue"),
+        (" ", "Metro", "1", "Tilos"),
     )
     result = imports.import_providers(rows, groups, known)
     got = sorted(tuple(r) for r in result.table.collect())
@@ -140,7 +168,7 @@ def test_providers(raw, groups, table):
         (10, 2, "Aysa", "Agua", "0012345"),
         (11, 2, "Metro", "Gas", None),
     ]
-    assert rejected(result.rejects) == [("grupo desconocido", 1), ("tipo", 1)]
+    assert rejected(result.rejects) == [("clave repetida", 1), ("grupo desconocido", 1), ("tipo", 1)]
 
 
 # ------------------------------------------------------------------------------- unit accounts
@@ -149,13 +177,13 @@ def test_providers(raw, groups, table):
 def test_unit_accounts(raw, groups, units):
     rows = raw(
         schemas.RAW_UNIT_ACCOUNTS,
-        ('"0000 0000-01"', "Alberdi", "1", "x", "departamentoX"),
-        ("", "ALBERDI ", "2", "x", ""),
-        ("00x", "Alberdi", "2", "x", "Z"),
-        ("77", "Alberdi", '"1.000"', "x", "C"),
-        ("77", "Alberdi", "1000", "x", "D"),
+        ('"0000 0000-01"', "Robledal", "1", "x", "departamentoX"),
+        ("", "ROBLEDAL ", "2", "x", ""),
+        ("00x", "Robledal", "2", "x", "Z"),
+        ("77", "Robledal", '"1.000"', "x", "C"),
+        ("77", "Robledal", "1000", "x", "D"),
         ("77", "Nadie", "1", "x", "D"),
-        ("77", "Unzue", "x", "x", "D"),
+        ("77", "Tilos", "x", "x", "D"),
     )
     result = imports.import_unit_accounts(rows, groups, units)
     got = {r.idUF: (r.idConsorcio, r.numeroUnidad, r.piso, r.departamento, r.coeficiente, r.m2_UF, r.cbu_cvu_actual) for r in result.units.collect()}
@@ -169,7 +197,7 @@ def test_unit_accounts(raw, groups, units):
     assert sorted((r.idUF, r.cbu_cvu_actual) for r in result.changed.collect()) == [
         (1, "0000000001"), (2, "0001"), (4, "77"),
     ]
-    assert rejected(result.rejects) == [("cuenta", 1), ("grupo desconocido", 1), ("unidad", 1)]
+    assert rejected(result.rejects) == [("clave repetida", 1), ("cuenta", 1), ("grupo desconocido", 1), ("unidad", 1)]
 
 
 # ------------------------------------------------------------------------------------- persons
@@ -204,13 +232,13 @@ def test_units(raw, groups, units, table):
     rooms = table("accesoria", {"idUnidadFuncional": 3, "baulera": "true", "cochera": "true", "m2_baulera": 9, "m2_cochera": 9})
     rows = raw(
         schemas.RAW_UNITS,
-        ("Alberdi", "1", "PB", " ", "", "45", "SI", "NO", "5", "0"),
-        ("alberdi ", "9", "3", "C", "12,34", "x", None, "si", "", "7"),
-        ("Alberdi", "8", "3", "C", "100,5", "20", None, None, None, None),
-        ("Alberdi", "x", "3", "C", "1", "20", None, None, None, None),
-        ("Alberdi", "7", "3", "C", "1", "0", None, None, None, None),
-        ("Alberdi", "6", "3", "C", "1", "10", None, None, None, None),
-        ("Alberdi", "6", "3", "D", "1", "10", None, None, None, None),
+        ("Robledal", "1", "PB", " ", "", "45", "SI", "NO", "5", "0"),
+        ("robledal ", "9", "3", "C", "12,34", "x", None, "si", "", "7"),
+        ("Robledal", "8", "3", "C", "100,5", "20", None, None, None, None),
+        ("Robledal", "x", "3", "C", "1", "20", None, None, None, None),
+        ("Robledal", "7", "3", "C", "1", "0", None, None, None, None),
+        ("Robledal", "6", "3", "C", "1", "10", None, None, None, None),
+        ("Robledal", "6", "3", "D", "1", "10", None, None, None, None),
         ("Nadie", "6", "3", "D", "1", "10", None, None, None, None),
     )
     result = imports.import_units(rows, groups, units, rooms)
@@ -255,12 +283,12 @@ def test_charges(raw, groups, units, table, offers):
     rooms = table("accesoria", {"idUnidadFuncional": 2, "m2_baulera": 4, "m2_cochera": 6})
     rows = raw(
         schemas.RAW_CHARGES,
-        ("Alberdi ", "mayo ", *amounts("1,000.01", "200,00", "33,33")),
-        ("Unzue", "junio", *amounts("0,00")),
-        ("Unzue", "setiembre", *amounts("5,00")),
+        ("Robledal ", "mayo ", *amounts("1,000.01", "200,00", "33,33")),
+        ("Tilos", "junio", *amounts("0,00")),
+        ("Tilos", "setiembre", *amounts("5,00")),
         (None, None, *[None] * 7),
-        ("UNZUE", "abril", *amounts("5,00")),
-        ("Unzue", "Abril", *amounts("6,00")),
+        ("TILOS", "abril", *amounts("5,00")),
+        ("Tilos", "Abril", *amounts("6,00")),
     )
     args = (rows, groups, units, rooms, providers, mapping)
     result = imports.import_charges(*args, table("expensa"), 2025)
@@ -302,7 +330,7 @@ def test_shares_stay_near_the_building_total(spark, table, offers):
 def test_group_without_area(raw, groups, table, offers):
     providers, mapping = offers
     flat = table("unidad", {"idUF": 1, "idConsorcio": 1, "numeroUnidad": 1, "m2_UF": 0})
-    rows = raw(schemas.RAW_CHARGES, ("Alberdi", "mayo", *amounts("10,00")))
+    rows = raw(schemas.RAW_CHARGES, ("Robledal", "mayo", *amounts("10,00")))
     result = imports.import_charges(rows, groups, flat, table("accesoria"), providers, mapping, table("expensa"), 2025)
     assert result.charges.count() == 0
     assert rejected(result.rejects) == [("total no positivo", 1)]

@@ -5,6 +5,8 @@ from decimal import Decimal
 import pytest
 
 from patio import schemas
+from patio.functions import privacy
+from patio.functions.privacy import WrongKeyError
 from patio.ledger import Ledger
 from patio.plans import profile
 
@@ -104,7 +106,39 @@ def test_whole_sequence(spark, tmp_path, files):
     assert book.rule_violations().filter("violaciones > 0").count() == 0
     other = Ledger(spark, str(tmp_path / "tables"), "fedcba9876543210")
     assert [r.nombre for r in other.top_debtors("2025-06-30").collect()] == [None]
+    with pytest.raises(WrongKeyError):
+        other.import_persons(files["persons"])
+    assert [r.nombre for r in book.top_debtors("2025-06-30").collect()] == ["Ana"]
+    # Rejects stay with the tables, each once however often a file comes.
+    assert {r.origen: r["count"] for r in book.table("rechazo").groupBy("origen").count().collect()} == {
+        "consorcio": 1, "expensa": 1, "pago": 1,
+    }
     assert book.store.load("persona").count() == 0
     plain = Ledger(spark, str(tmp_path / "tables"))
     plain.import_persons(files["persons"])
     assert [r.nombre for r in plain.top_debtors("2025-06-30").collect()] == ["Ana"]
+
+
+def test_two_writers(spark, tmp_path, files):
+    """An import that read its tables before another one published fails and changes nothing."""
+    one, two = (Ledger(spark, str(tmp_path / "tables")) for _ in range(2))
+    one.import_groups(files["groups"])
+    one.import_units(files["units"])
+    one.store.begin()
+    stale = one.store.load("unidad")
+    two.import_payments(files["payments"])
+    with pytest.raises(RuntimeError):
+        one.store.publish(replace={"unidad": stale})
+    assert two.table("pago").count() == 3
+    assert one.import_payments(files["payments"]).count() == 1 and one.table("pago").count() == 3
+
+
+def test_no_key_in_plans(spark):
+    key = "0123456789abcdef"
+    privacy.hide_keys(spark)
+    people = spark.createDataFrame([("a", "b", "c", "d")], list(privacy.PERSONAL))
+    sealed = privacy.encrypt_columns(people, key)
+    for frame in (sealed, privacy.decrypt_columns(sealed, key)):
+        for mode in ("extended", "formatted"):
+            text = frame._sc._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), mode)
+            assert key not in text and key.encode().hex().upper() not in text.upper()

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as driver
+from patio.workload import registry
 from tests.compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ANSWERS = driver.queries(), driver.oracle_sql()
+QUERIES, ANSWERS = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -17,31 +17,31 @@ from patio.streaming import jobs
 @pytest.mark.parametrize("ending", ["\r\n", "\n"])
 def test_pipe_file_reads_alike_with_both_line_ends(spark, tmp_path, ending):
     path = tmp_path / "u.csv"
-    lines = ["cbu|grupo|nro|tipo|depto", '"0000 0000-01"|Alberdi|1|x|A', "|Unzue|2||Ñ", "5|corta"]
+    lines = ["cbu|grupo|nro|tipo|depto", '"0000 0000-01"|Robledal|1|x|A', "|Tilos|2||Ñ", "5|corta"]
     path.write_bytes((ending.join(lines) + ending).encode())
     rows = delimited.read_raw(spark, "unit_accounts", str(path)).collect()
     assert [tuple(r) for r in rows] == [
-        ('"0000 0000-01"', "Alberdi", "1", "x", "A"),
-        (None, "Unzue", "2", None, "Ñ"),
+        ('"0000 0000-01"', "Robledal", "1", "x", "A"),
+        (None, "Tilos", "2", None, "Ñ"),
         ("5", "corta", None, None, None),
     ]
 
 
 def test_tab_file_keeps_blanks(spark, tmp_path):
     path = tmp_path / "u.txt"
-    path.write_bytes(("\t".join("abcdefghij") + "\r\n" + "\t".join([" Alberdi ", "1", "PB", "A", "4,2", "45", "SI", "NO", "5", "0"]) + "\r\n").encode())
+    path.write_bytes(("\t".join("abcdefghij") + "\r\n" + "\t".join([" Robledal ", "1", "PB", "A", "4,2", "45", "SI", "NO", "5", "0"]) + "\r\n").encode())
     row = delimited.read_raw(spark, "units", str(path)).first()
-    assert row[0] == " Alberdi " and row[9] == "0"
+    assert row[0] == " Robledal " and row[9] == "0"
 
 
 def test_json_array_ignores_unknown_keys(spark, tmp_path):
     path = tmp_path / "c.json"
     path.write_text(
-        '[{"_id": {"x": "1"}, "Nombre del consorcio": "Uno", "Mes": "mayo ", "BANCARIOS": "22,648.59",'
-        ' "SERVICIOS PUBLICOS-Luz": "547.445,22"}, {"_id": {"x": "2"}}]'
+        '[{"_id": {"x": "1"}, "Nombre del consorcio": "Uno", "Mes": "mayo ", "BANCARIOS": "31,905.20",'
+        ' "SERVICIOS PUBLICOS-Luz": "612.380,47"}, {"_id": {"x": "2"}}]'
     )
     rows = read_charges(spark, str(path)).collect()
-    assert rows[0]["Nombre del consorcio"] == "Uno" and rows[0]["SERVICIOS PUBLICOS-Luz"] == "547.445,22"
+    assert rows[0]["Nombre del consorcio"] == "Uno" and rows[0]["SERVICIOS PUBLICOS-Luz"] == "612.380,47"
     assert set(rows[1]) == {None} and rows[0].__fields__ == list(schemas.RAW_CHARGES)
     (tmp_path / "l.json").write_text('{"Mes": "abril"}\n{"Mes": "mayo"}\n')
     assert read_charges(spark, str(tmp_path / "l.json"), one_record_per_line=True).count() == 2
