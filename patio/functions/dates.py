@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patio.functions.keys import charge_month
+
 # Month names as they appear in the monthly amounts.
 MONTHS = (
     "enero",
@@ -85,6 +87,19 @@ def in_range(df: DataFrame, column: str, first: dt.date | str, last: dt.date | s
     return kept
 
 
+def in_charge_months(
+    df: DataFrame, first: dt.date | str, last: dt.date | str, column: str = "idExpensa"
+) -> DataFrame:
+    """Rows whose charge id names a month from that of the first day to that of the last.
+
+    A table stored by month of this column skips whole folders.
+    """
+    lo, hi = (F.trunc(F.lit(str(x)).cast("date"), "month") for x in (first, last))
+    stored_month = month_column(column)
+    month = F.col(stored_month) if stored_month in df.columns else charge_month(F.col(column))
+    return df.filter(month.between(lo, hi))
+
+
 def month_column(column: str) -> str:
     """Name of the folder column a table is stored by."""
     return f"{column}_mes"

@@ -116,7 +116,7 @@ class Ledger:
             self.table("accesoria"),
             self.table("prestador"),
             concept_map,
-            self.table("expensa").drop(dates.month_column("periodo")),
+            dates.in_range(self.table("expensa"), "periodo", f"{year}-01-01", f"{year}-12-31"),
             year,
         )
         fresh, rejects = self._reported("expensa", result.rejects)

@@ -90,7 +90,7 @@ def new_statements(
 ) -> DataFrame:
     """A statement for each charge of the month without one."""
     first, last = dates.month_bounds(year, month)
-    done = statements.select(F.col("idExpensa").alias("_charge"))
+    done = dates.in_range(statements, "periodo", first, last).select(F.col("idExpensa").alias("_charge"))
     pending = (
         charges.select("id", "idUF", "periodo", "montoTotal")
         .join(done, F.col("id") == F.col("_charge"), "left_anti")
@@ -127,7 +127,12 @@ def bill_month(
     first, last = dates.month_bounds(year, month)
     due = dates.in_range(charges, "periodo", first, last)
     return MonthBill(
-        new_invoices(due, details, invoices, issue_date),
+        new_invoices(
+            due,
+            dates.in_charge_months(details, first, last),
+            dates.in_charge_months(invoices, first, last),
+            issue_date,
+        ),
         new_statements(due, payments, statements, year, month),
         with_send_date(due, holidays, issue_date, skip_weekends),
     )

@@ -139,7 +139,11 @@ def by_origin(
 ) -> DataFrame:
     """Charged amounts per month, split into ordinary and extraordinary."""
     monthly = _charged_per_month(
-        dates.in_range(charges, "periodo", date_from, date_to), details, units, group_id, origin_col
+        dates.in_range(charges, "periodo", date_from, date_to),
+        dates.in_charge_months(details, date_from, date_to),
+        units,
+        group_id,
+        origin_col,
     )
     return monthly.select(
         F.col("mes").alias("periodo"),
@@ -213,7 +217,8 @@ def top_expense_months(
     end = dt.date.fromisoformat(str(date_to))
     last = dates.month_bounds(end.year, end.month)[1]
     whole = dates.in_range(charges, "periodo", first, last)
-    return _ranked(_charged_per_month(whole, details, units, group_id, "tipo"), "GASTOS", n)
+    lines = dates.in_charge_months(details, first, last)
+    return _ranked(_charged_per_month(whole, lines, units, group_id, "tipo"), "GASTOS", n)
 
 
 def top_months(

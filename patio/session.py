@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import functools
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,8 @@ def build_session(app: str = "patio", master: str | None = None, **conf: str) ->
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Checkpoints go when the frames that were read from them are gone.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -30,14 +33,20 @@ def build_session(app: str = "patio", master: str | None = None, **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the session names none (a bare local session) a local folder is used.
+    A bare local session that names none gets a temporary folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    # In local-cluster mode, too, executors have folders of their own.
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return os.path.join(os.path.abspath("spark-warehouse"), "checkpoints")
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"patio-{application}-")
 
 
 def materialize(df: DataFrame) -> DataFrame:

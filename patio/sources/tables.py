@@ -15,11 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patio.functions.dates import month_column
+from patio.functions.keys import charge_month
 from patio.schemas import TABLES, table_schema
 
-# Tables that reports cut by a date range are stored in one folder per month of that date.
+# Tables that jobs cut by a date range are stored in one folder per month of that date, or of the
+# month that the charge id names.
 VERSION = "version"
-STORED_BY_MONTH = {"pago": "fechaPago", "expensa": "periodo"}
+BY_CHARGE = "idExpensa"
+STORED_BY_MONTH = {
+    "pago": "fechaPago",
+    "expensa": "periodo",
+    "estado": "periodo",
+    "detalle": BY_CHARGE,
+    "factura": BY_CHARGE,
+}
 
 
 class TableStore:
@@ -96,7 +105,8 @@ class TableStore:
         if day:
             month = month_column(day)
             # Rebalancing keeps one month in few files and splits a month that is too large.
-            rows = rows.withColumn(month, F.trunc(day, "month")).hint("rebalance", month)
+            value = charge_month(F.col(day)) if day == BY_CHARGE else F.trunc(day, "month")
+            rows = rows.withColumn(month, value).hint("rebalance", month)
             writer = rows.write.partitionBy(month)
         else:
             writer = rows.write

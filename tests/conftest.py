@@ -4,7 +4,7 @@ from patio.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "patio-tests",
         master="local[4]",
@@ -12,6 +12,7 @@ def spark():
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
         spark__sql__session__timeZone="UTC",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

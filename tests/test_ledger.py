@@ -98,6 +98,9 @@ def test_whole_sequence(spark, tmp_path, files):
     # The origin report reads the service type, so nothing counts as extraordinary.
     assert origin == {4: (1500, 0), 5: (3000, 0), 6: (Decimal("80.40"), 0)}
     assert book.top_months(*year).count() == 6
+    # One month of the report reads one month of lines.
+    plan = book.by_origin("2025-04-01", "2025-04-30")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(idExpensa_mes" in plan and "PartitionFilters: [isnotnull(periodo_mes" in plan
     assert [(r.nombre, r.deuda) for r in book.top_debtors("2025-06-30").collect()] == [("Ana", Decimal("3120.00"))]
     assert book.payment_gaps(*year).count() == 3
     assert profile.with_both(book.building_profile()).count() == 1
