@@ -55,7 +55,7 @@ def _shared_folder(df: DataFrame) -> str:
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if context.master.split("[")[0] != "local":
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="patio-llm-")
         context.setCheckpointDir(folder)
