@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patio.functions import dates, numbers, text
-from patio.schemas import CONCEPTS, RAW_GROUPS, RAW_PERSONS, RAW_UNIT_ACCOUNTS, RAW_UNITS
+from patio.schemas import CONCEPTS, RAW_CHARGES, RAW_GROUPS, RAW_PERSONS, RAW_UNIT_ACCOUNTS, RAW_UNITS
 from patio.sources import delimited, holidays, sheets
+from patio.sources.charges_json import read_charges
 from patio.sources.tables import TableStore
 from patio.workload import raw
 from patio.workload.answers import answer
@@ -89,6 +90,31 @@ def json_schema(d: Domain) -> DataFrame:
     )
 
 
+def json_array(d: Domain) -> DataFrame:
+    """Array files of at most RECORDS_IN_FILE records each, through the reader of the import."""
+    path = d.scratch("arrays")
+    k = F.col("s_suppkey")
+    record = F.struct(
+        F.struct(k.alias("oid")).alias("_id"),
+        F.col("s_name").alias(RAW_CHARGES[0]),
+        F.lit("Mayo ").alias("Mes"),
+        F.when(k % 3 != 0, F.concat(k, F.lit(",50"))).alias(CONCEPTS[0]),
+        F.format_number(F.col("s_acctbal"), 2).alias(CONCEPTS[-1]),
+    )
+    files = d.read("supplier").groupBy(F.floor(k / RECORDS_IN_FILE).alias("lote")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(record)), ","), F.lit("]")).alias("value")
+    )
+    files.write.partitionBy("lote").text(path)
+    rows = read_charges(d.spark, path)
+    return rows.select(
+        F.col(f"`{RAW_CHARGES[0]}`").alias("nombre"),
+        F.col("Mes").alias("mes"),
+        F.col(f"`{CONCEPTS[0]}`").alias("primero"),
+        F.col(f"`{CONCEPTS[1]}`").alias("segundo"),
+        F.col(f"`{CONCEPTS[-1]}`").alias("ultimo"),
+    )
+
+
 def table_scan(d: Domain) -> DataFrame:
     store = TableStore(d.spark, d.scratch("store"))
     store.publish(replace={"pago": d.payments})
@@ -114,6 +140,7 @@ def concept_rows(d: Domain) -> DataFrame:
 
 ODATE = "CAST(o_orderdate AS DATE)"
 LAST_SHEET_ROW = 1 << 62
+RECORDS_IN_FILE = 1000
 AMOUNT = "CAST(o_totalprice AS DECIMAL(12,2))"
 ACCOUNT = "lpad(CAST(o_custkey AS VARCHAR), 22, '0')"
 PAY_VALUE = f"{AMOUNT} + v.mas"
@@ -146,6 +173,12 @@ QUERIES: dict[str, Entry] = {
         json_schema,
         "SELECT event_id AS id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS sin_clave FROM events",
     ),
+    "src_json_array": Entry(
+        json_array,
+        """
+SELECT s_name AS nombre, 'Mayo ' AS mes, CASE WHEN s_suppkey % 3 <> 0 THEN s_suppkey || ',50' END AS primero,
+       CAST(NULL AS VARCHAR) AS segundo, format('{:,.2f}', s_acctbal) AS ultimo FROM supplier""",
+    ),
     "src_csv_comma": Entry(
         csv_comma,
         f"""
