@@ -36,7 +36,7 @@ from patio.llm.suffix_array import sort_suffixes
 from patio.llm.words import spans as ranges
 
 #: Bytes of text that are hashed together.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 #: Size of the bitmap of texts from which something may be removed.
 BITS = 1 << 26
 
