@@ -170,7 +170,8 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
         "winner",
         F.expr("counts[slot]").alias("seen"),
     )
-    found = (
+    # Stored, so that both sides of the join below are exchanges that Spark can split when skewed.
+    found = stored(
         newer.unionByName(slots)
         .groupBy("digest")
         .agg(F.min("winner").alias("winner"), F.max("seen").alias("group_size"))
