@@ -40,6 +40,7 @@ BAND_SAMPLES = 4
 LIKE = 0.8
 #: Documents of one range, on average.
 RANGE_ROWS = 4096
+MOST_RANGES = 10_000
 CHUNK = 8 << 20
 #: The random bits repeat after so many steps.
 PERIOD = 4096
@@ -192,8 +193,9 @@ def _in_order(batches):
 def edit_fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and its edited text, and how alike they are."""
     rows = id_text(docs)
-    # Ranges are streams, so their number follows the cores where the table is large.
-    ranges = max(1, min(-(-rows.count() // RANGE_ROWS), 8 * docs.sparkSession.sparkContext.defaultParallelism))
+    # The cuts are literals of the plan, so their number is bounded; ranges are streams and may grow.
+    most = max(MOST_RANGES, 8 * docs.sparkSession.sparkContext.defaultParallelism)
+    ranges = max(1, min(-(-rows.count() // RANGE_ROWS), most))
     cuts = rows.agg(
         F.percentile_approx("doc_id", [k / ranges for k in range(1, ranges)] or [0.5], 10 * ranges + 100).alias("cuts")
     ).first()["cuts"] or []
