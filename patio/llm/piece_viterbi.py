@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from patio.llm.common import id_text, in_pieces, utf8
 from patio.llm.words import distinct, spans
 
-BATCH_BYTES = 6 << 20
+BATCH_BYTES = 2 << 20
+BATCH_IDS = 1 << 18
 #: Cells of the matrix of one block.
 CELLS = 1 << 17
 #: Places that a block of one long part covers.
@@ -280,13 +281,24 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, text_sha256 string, ids array<int>")
 
 
+def _few_ids(batches):
+    """Cut batches so that one piece holds about BATCH_IDS ids, or a single row."""
+    for batch in batches:
+        at, first = batch.column("ids").offsets.to_numpy().astype(np.int64), 0
+        while first < batch.num_rows:
+            last = int(np.searchsorted(at, at[first] + BATCH_IDS, side="right")) - 1
+            last = min(max(last, first + 1), batch.num_rows)
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """The rows of encoded with the text that `ids` stand for."""
     path = path or default_model()
     names = encoded.columns
 
     def run(batches):
-        for batch in batches:
+        for batch in _few_ids(batches):
             lists = batch.column("ids")
             at = lists.offsets.to_numpy().astype(np.int64)
             ids = lists.values.to_numpy()[at[0] : at[-1]]
