@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: The white space of the contracts: blank and the five control characters after it.
 SPACES = r"[\x20\x09-\x0D]+"
+#: Size of the bitmap of marked texts.
+BITS = 1 << 26
 
 
 def shipped(spark: SparkSession) -> None:
@@ -106,3 +108,19 @@ def in_pieces(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.
             last = min(max(last, first + 1), batch.num_rows)
             yield batch.slice(first, last - first)
             first = last
+
+
+def marked(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Adds `maybe`: false where the text (s) is surely not among texts.
+
+    A bitmap by s is broadcast, of at most BITS / 64 words whatever the size of the data.
+    """
+
+    def bit():
+        return F.expr(f"shiftleft(1L, cast(pmod(s, {BITS}) % 64 as int))")
+
+    word = F.shiftright(F.pmod(F.col("s"), F.lit(BITS)), 6)
+    bitmap = texts.select(word.alias("_word"), bit().alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    held = rows.join(F.broadcast(bitmap), word == F.col("_word"), "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(bit()) != 0, F.lit(False))
+    return held.select(*rows.columns, maybe.alias("maybe"))

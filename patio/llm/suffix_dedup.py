@@ -30,15 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patio.llm.common import columns_of, id_text, in_pieces, stored, stored_table, utf8
+from patio.llm.common import BITS, columns_of, id_text, in_pieces, marked, stored, stored_table, utf8
 from patio.llm.suffix_anchors import LONG, Hasher, anchors, mixed
 from patio.llm.suffix_array import sort_suffixes
 from patio.llm.words import spans as ranges
 
 #: Bytes of text that are hashed together.
 BATCH_BYTES = 1 << 20
-#: Size of the bitmap of texts from which something may be removed.
-BITS = 1 << 26
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -170,7 +168,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .groupBy("one.s")
         .agg(F.collect_list(F.struct("kr", "f", "one.p", "one.lo", "one.hi")).alias("asked"))
     )
-    texts = _marked(long.select("s", "text"), asked.select("s")).where("maybe").join(asked, "s")
+    texts = marked(long.select("s", "text"), asked.select("s")).where("maybe").join(asked, "s")
     runs = texts.select("text", "asked").mapInArrow(_windows, "kr long, f long, first int, codes binary")
     runs = runs.repartition("kr").mapInArrow(_repeated, "kr long, f long, x int, y int")
     # A kind of surroundings that occurs twice is repeated whole; else its runs are.
@@ -188,26 +186,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return stored(every.repartition("s").mapInArrow(_joined, "s long, starts array<long>, ends array<long>"))
 
 
-def _marked(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Adds `maybe`: false where the text (s) is surely not among texts.
-
-    A bitmap by s is broadcast, of at most BITS / 64 words whatever the size of the data.
-    """
-
-    def bit():
-        return F.expr(f"shiftleft(1L, cast(pmod(s, {BITS}) % 64 as int))")
-
-    word = F.shiftright(F.pmod(F.col("s"), F.lit(BITS)), 6)
-    bitmap = texts.select(word.alias("_word"), bit().alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
-    held = rows.join(F.broadcast(bitmap), word == F.col("_word"), "left")
-    maybe = F.coalesce(F.col("_bits").bitwiseAND(bit()) != 0, F.lit(False))
-    return held.select(*rows.columns, maybe.alias("maybe"))
-
-
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     spans = repeated_spans(docs)
-    rows = _marked(id_text(docs).withColumn("s", F.xxhash64("text")), spans.select("s"))
+    rows = marked(id_text(docs).withColumn("s", F.xxhash64("text")), spans.select("s"))
     touched = rows.where("maybe").drop("maybe").join(spans, "s", "left")
     changed = touched.select("doc_id", "text", "starts", "ends").mapInArrow(_removed, RESULT)
     zero = F.lit(0).cast("long")
