@@ -9,9 +9,10 @@ costs the factorial of the number of segments. Values that need at least MIN_GUE
 are added as spans of kind `guess`, unless a base span covers them.
 
 Defined cases: null and empty texts have no spans. Repeated rows get a row each. Texts are read
-whole; a value is what stands up to the next white space or quote, and values of more than
-LONG characters are beyond guessing without a program run, so that no text costs more than
-linear time. Positions count code points. Other columns are not read.
+whole; a value is what stands up to the next white space or quote. Values of all lengths go
+through the same program in linear time: what alone takes MIN_GUESSES is left out, be it a walk or
+a number of segments, as are stretches inside a long sequence that end away from its ends.
+Positions count code points. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,7 +28,10 @@ from pyspark.sql import DataFrame
 from patio.llm.common import id_text
 
 MIN_GUESSES = 10.0
-LONG = 256
+#: Most segments: the factorial of one more takes MIN_GUESSES by itself.
+MOST = next(k for k in range(1, 99) if math.log10(math.factorial(k + 1)) >= MIN_GUESSES)
+#: No word, date or walk that counts reaches further into a sequence than this.
+EDGE = 16
 KINDS = ("assign", "access", "hex", "guess")
 
 # A credential stands before a separator, so the search goes from separator to separator: no word
@@ -82,6 +86,14 @@ def _runs(text: str, follows) -> list[tuple[int, int]]:
     return out
 
 
+def _stretches(a: int, b: int) -> list[tuple[int, int]]:
+    """Stretches of a sequence from a to b that a cheapest segmentation may use."""
+    short = [(s, e) for s in range(a, b - 2) for e in range(s + 3, min(s + 2 * EDGE, b) + 1)]
+    left = [(s, e) for s in range(a, min(a + EDGE, b)) for e in range(s + 2 * EDGE + 1, b + 1)]
+    right = [(s, e) for s in range(a + EDGE, b) for e in range(max(s + 2 * EDGE + 1, b - EDGE), b + 1)]
+    return short + left + right
+
+
 def _alphabet(span: str) -> int:
     size = 10 * any(c.isdigit() for c in span) + 26 * any(c.islower() for c in span)
     size += 26 * any(c.isupper() for c in span) + 33 * any(not c.isalnum() for c in span)
@@ -106,31 +118,35 @@ def segments(value: str) -> list[tuple[int, int, float]]:
     for a, b in _runs(low, lambda x, y: x == y):
         found += [(a, e, math.log10(40 * (e - a))) for e in range(a + 3, b + 1)]
     for a, b in _runs(low, _near):
-        found += [(s, e, math.log10(94) + 0.6 * (e - s - 1)) for s in range(a, b - 2) for e in range(s + 3, b + 1)]
+        for s in range(a, b - 2):
+            for e in range(s + 3, b + 1):
+                if (cost := math.log10(94) + 0.6 * (e - s - 1)) >= MIN_GUESSES:
+                    break
+                found.append((s, e, cost))
     for step in (1, -1):
         for a, b in _runs(low, lambda x, y, step=step: ord(y) - ord(x) == step):
-            found += [(s, e, math.log10(26 * (e - s))) for s in range(a, b - 2) for e in range(s + 3, b + 1)]
+            found += [(s, e, math.log10(26 * (e - s))) for s, e in _stretches(a, b)]
     for size in (2, 3, 4):  # a short block again and again
         for a in range(len(low) - 2 * size + 1):
             block, e = low[a : a + size], a + size
+            if a >= size and low.startswith(block, a - size):
+                continue
             while low.startswith(block, e):
                 e += size
-            if e - a >= 2 * size and low[a - size : a] != block:
+            if e - a >= 2 * size:
                 found.append((a, e, size * math.log10(_alphabet(block)) + math.log10((e - a) / size)))
     return found
 
 
 def guess_cost(value: str) -> float:
-    """log10 of the guesses that the cheapest segmentation takes."""
+    """log10 of the guesses that the cheapest segmentation takes, exact below MIN_GUESSES."""
     n = len(value)
-    if n > LONG:
-        return float(n)
     sign = math.log10(_alphabet(value))
     into: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
     for a, b, cost in segments(value):
         into[b].append((a, max(cost, 0.0)))
     # best[k][i]: cheapest way to i in k segments; brute force may take any stretch as one segment.
-    most = min(n, 12)
+    most = min(n, MOST)
     best = [[0.0] + [math.inf] * n]
     for _ in range(most):
         last, now, brute = best[-1], [math.inf] * (n + 1), math.inf

@@ -302,6 +302,16 @@ def test_guess_cost_brute():
         assert secret_scan.guess_cost(value) == pytest.approx(best(0, 0))
 
 
+def test_guess_cost_long():
+    """Length and number of segments change no rule, and long values take linear time."""
+    scan = secret_scan.scan
+    for text in ("passphrase=" + "z" * 200, "passphrase=" + "z" * 300, "passphrase=" + "ab" * 20000, "passphrase=" + "".join(map(chr, range(0x4E00, 0x5600)))):
+        assert scan(text)[1] == [], text[:20]
+    assert scan("passphrase=" + "password" * 13)[1] == [] and len(scan("passphrase=" + "password" * 14)[1]) == 1
+    assert len(scan("passphrase=" + "x9$Kq!27zP" * 3 + "q" * 400)[1]) == 1
+    assert len(scan("passphrase=" + "qw" * 20 + "er" * 2000 + "x9$Kq!27zP")[1]) == 1
+
+
 def test_pipeline_stages(spark, odd_docs, no_docs):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["language_id", "exact_dedup", "simhash_near_dedup", "pii", "packing"]
