@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patio.llm import edit_fingerprints, exact_dedup, lang_id, licenses, packing, pii, piece_viterbi, secret_scan, simhash, suffix_dedup
+from patio.llm import edit_fingerprints, exact_dedup, lang_id, licenses, packing, pii, piece_viterbi, secret_scan, simhash, suffix_dedup, token_counts
 from patio.llm.common import documents
 
 
@@ -73,6 +73,10 @@ def op10_simhash(spark, sf_dir) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op13_token_counts(spark, sf_dir) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_suffix_array": op2_suffix_array,
@@ -84,5 +88,6 @@ QUERIES = {
     "op8_edit_fingerprints": op8_edit_fingerprints,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
+    "op13_token_counts": op13_token_counts,
 }
 ORACLES = {"op1_license_scan": licenses.answer_sql(), "op3_exact_dedup": OP3_SQL}
