@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patio.llm import edit_fingerprints, exact_dedup, lang_id, licenses, packing, pii, piece_viterbi, secret_scan, simhash, suffix_dedup, token_counts
+from patio.llm import edit_fingerprints, exact_dedup, lang_id, licenses, merkle, packing, pii, piece_viterbi, secret_scan, simhash, suffix_dedup, token_counts
 from patio.llm.common import documents
 
 
@@ -73,6 +73,84 @@ def op10_simhash(spark, sf_dir) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_merkle(spark, sf_dir) -> DataFrame:
+    proofs = merkle.manifest(documents(spark, sf_dir), tampered=merkle.tampered_digest())
+    return merkle.verified(proofs)
+
+
+# Levels one by one; DuckDB has no crc32, so that it is computed from its definition.
+OP11_SQL = r"""
+WITH RECURSIVE
+crc AS (
+    SELECT list(list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8],
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+    FROM range(256) r(i)
+),
+base AS (
+    SELECT doc_id, source, text,
+           coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+           list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+               lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])) AS state
+    FROM documents, crc
+),
+leaves AS (
+    SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h,
+           sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS tampered,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n
+    FROM (SELECT *, CASE WHEN xor(state, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed FROM base)
+),
+nodes AS (
+    SELECT 0 AS level, source, idx, h, n FROM leaves
+    UNION ALL
+    SELECT level + 1, source, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM nodes WHERE n > 1 GROUP BY level, source, idx // 3, n
+),
+tops AS (
+    SELECT 0 AS level, source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS idx, h, count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+),
+high AS (
+    SELECT level, idx, h, n FROM tops
+    UNION ALL
+    SELECT level + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM high WHERE n > 1 GROUP BY level, idx // 3, n
+),
+steps AS (
+    SELECT level, source, idx,
+           coalesce(string_agg(h, '') OVER (PARTITION BY level, source, idx // 3 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+           coalesce(string_agg(h, '') OVER (PARTITION BY level, source, idx // 3 ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+    FROM nodes WHERE n > 1
+),
+high_steps AS (
+    SELECT level, idx,
+           coalesce(string_agg(h, '') OVER (PARTITION BY level, idx // 3 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+           coalesce(string_agg(h, '') OVER (PARTITION BY level, idx // 3 ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+    FROM high WHERE n > 1
+),
+paths AS (
+    SELECT l.source, l.idx, s.level, {'b': s.b, 'a': s.a} AS step
+    FROM leaves l JOIN steps s ON s.source IS NOT DISTINCT FROM l.source AND s.idx = l.idx // CAST(pow(3, s.level) AS BIGINT)
+    UNION ALL
+    SELECT l.source, l.idx, 1000 + s.level, {'b': s.b, 'a': s.a}
+    FROM leaves l JOIN tops t ON t.source IS NOT DISTINCT FROM l.source
+    JOIN high_steps s ON s.idx = t.idx // CAST(pow(3, s.level) AS BIGINT)
+),
+listed AS (SELECT source, idx, list(step ORDER BY level) AS path FROM paths GROUP BY source, idx),
+proved AS (
+    SELECT l.doc_id, l.h AS leaf, t.h AS subroot, (SELECT h FROM high WHERE n = 1) AS root, l.tampered,
+           coalesce(p.path, []) AS path
+    FROM leaves l JOIN tops t ON t.source IS NOT DISTINCT FROM l.source
+    LEFT JOIN listed p ON p.source IS NOT DISTINCT FROM l.source AND p.idx = l.idx
+),
+refolded AS (
+    SELECT doc_id, leaf, subroot, root,
+           sha256(array_to_string(list_transform(path, lambda s: s.b || s.a), '')) AS proof_sha256,
+           list_reduce(list_prepend({'b': tampered, 'a': ''}, path), lambda x, y: {'b': sha256(y.b || x.b || y.a), 'a': ''}).b AS folded_root
+    FROM proved
+)
+SELECT *, folded_root = root AS verified FROM refolded
+"""
+
+
 def op13_token_counts(spark, sf_dir) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
@@ -88,6 +166,7 @@ QUERIES = {
     "op8_edit_fingerprints": op8_edit_fingerprints,
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
+    "op11_merkle": op11_merkle,
     "op13_token_counts": op13_token_counts,
 }
-ORACLES = {"op1_license_scan": licenses.answer_sql(), "op3_exact_dedup": OP3_SQL}
+ORACLES = {"op1_license_scan": licenses.answer_sql(), "op3_exact_dedup": OP3_SQL, "op11_merkle": OP11_SQL}
