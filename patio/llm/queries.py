@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patio.llm import edit_fingerprints, exact_dedup, lang_id, licenses, merkle, packing, pii, piece_viterbi, secret_scan, simhash, suffix_dedup, token_counts
+from patio.llm import edit_fingerprints, exact_dedup, lang_id, lexical_search, licenses, merkle, packing, pii, piece_viterbi, secret_scan, simhash, suffix_dedup, token_counts
 from patio.llm.common import documents
 
 
@@ -151,6 +151,43 @@ SELECT *, folded_root = root AS verified FROM refolded
 """
 
 
+def op12_lexical_search(spark, sf_dir) -> DataFrame:
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+OP12_SQL = r"""
+WITH held AS (
+    SELECT doc_id, term, count(*) AS tf
+    FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents)
+    GROUP BY doc_id, term
+),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS terms FROM held GROUP BY doc_id),
+corpus AS (SELECT count(*) AS docs, sum(terms)::BIGINT AS terms FROM lengths),
+documents_m AS (SELECT l.doc_id, 100 - 25 + (25 * l.terms * c.docs) // c.terms AS m FROM lengths l, corpus c),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM held GROUP BY term), corpus
+),
+asked AS (
+    SELECT item_id, term, count(*) AS times
+    FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+    GROUP BY item_id, term
+),
+scores AS (
+    SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN documents_m USING (doc_id)
+    GROUP BY item_id, doc_id
+),
+placed AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+    FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 20
+"""
+
+
 def op13_token_counts(spark, sf_dir) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir))
 
@@ -167,6 +204,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_simhash": op10_simhash,
     "op11_merkle": op11_merkle,
+    "op12_lexical_search": op12_lexical_search,
     "op13_token_counts": op13_token_counts,
 }
-ORACLES = {"op1_license_scan": licenses.answer_sql(), "op3_exact_dedup": OP3_SQL, "op11_merkle": OP11_SQL}
+ORACLES = {"op1_license_scan": licenses.answer_sql(), "op3_exact_dedup": OP3_SQL, "op11_merkle": OP11_SQL, "op12_lexical_search": OP12_SQL}
