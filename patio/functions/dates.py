@@ -7,8 +7,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patio.functions.keys import charge_month
-
 # Month names as they appear in the monthly amounts.
 MONTHS = (
     "enero",
@@ -81,23 +79,19 @@ def in_range(df: DataFrame, column: str, first: dt.date | str, last: dt.date | s
     lo, hi = F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date")
     day = F.col(column)
     kept = df.filter((day >= lo) & (day < F.date_add(hi, 1)))
-    stored_month = month_column(column)
-    if stored_month in df.columns:
-        kept = kept.filter(F.col(stored_month).between(F.trunc(lo, "month"), F.trunc(hi, "month")))
+    month = month_column(column)
+    if month in df.columns:
+        kept = kept.filter(F.col(month).between(F.trunc(lo, "month"), F.trunc(hi, "month")))
     return kept
 
 
-def in_charge_months(
-    df: DataFrame, first: dt.date | str, last: dt.date | str, column: str = "idExpensa"
-) -> DataFrame:
-    """Rows whose charge id names a month from that of the first day to that of the last.
+def stored_month(df: DataFrame, other: DataFrame, column: str = "periodo") -> list[str]:
+    """The month both tables are stored by, if they are, as a further join key.
 
-    A table stored by month of this column skips whole folders.
+    A cut of one side by its dates then skips folders of the other side as well.
     """
-    lo, hi = (F.trunc(F.lit(str(x)).cast("date"), "month") for x in (first, last))
-    stored_month = month_column(column)
-    month = F.col(stored_month) if stored_month in df.columns else charge_month(F.col(column))
-    return df.filter(month.between(lo, hi))
+    month = month_column(column)
+    return [month] if month in df.columns and month in other.columns else []
 
 
 def month_column(column: str) -> str:

@@ -14,12 +14,6 @@ def match_key(text: Column) -> Column:
     return F.lower(F.rtrim(text))
 
 
-def charge_month(charge: Column) -> Column:
-    """First day of the month that a charge id names."""
-    month = F.pmod(charge, F.lit(MONTH_SLOTS)).cast("int")
-    return F.make_date(F.floor(month / 12).cast("int"), month % 12 + 1, F.lit(1))
-
-
 def charge_id(unit: Column, period: Column) -> Column:
     """One number per (unit, month), computed without any global counter."""
     month = F.year(period) * 12 + F.month(period) - 1

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from patio.functions import dates, privacy
 from patio.operators import quality, upsert
 from patio.plans import billing, imports, profile, reports
+from patio.schemas import table_schema
 from patio.session import materialize
 from patio.sources import delimited, holidays, sheets, xml
 from patio.sources.charges_json import read_charges
@@ -141,18 +142,25 @@ class Ledger:
         """Add invoices and statements and set the month's send date, in one step."""
         self.store.begin()
         names = ("expensa", "detalle", "pago", "factura", "estado", "feriado")
+        first = dates.month_bounds(year, month)[0]
+        balances = self.table("saldo")
+        # Months billed out of order look back through the statements themselves.
+        in_order = balances.filter(F.col("periodo") > F.lit(str(first)).cast("date")).isEmpty()
+        before = balances.filter(F.col("periodo") < F.lit(str(first)).cast("date"))
         bill = billing.bill_month(
-            *[self.table(n) for n in names], year, month, issue_date, skip_weekends
+            *[self.table(n) for n in names], year, month, issue_date, skip_weekends, before if in_order else None
         )
-        first = dates.month_bounds(year, month)[0]
+        statements = materialize(bill.statements)
         self.store.publish(
-            append={"factura": bill.invoices, "estado": bill.statements},
+            replace={"saldo": billing.latest_balances(balances, statements)},
+            append={"factura": bill.invoices, "estado": statements},
             replace_months={"expensa": (bill.charges, [first])},
         )
 
     def reset_billing(self) -> None:
-        self.store.overwrite("factura")
-        self.store.overwrite("estado")
+        self.store.begin()
+        none = {name: self.spark.createDataFrame([], table_schema(name)) for name in ("factura", "estado", "saldo")}
+        self.store.publish(replace=none)
 
     # ------------------------------------------------------------------------------- reports
 

@@ -38,13 +38,23 @@ def keep_one(df: DataFrame, keys: Sequence[str], fold: Sequence[str] = ()) -> Da
 
 
 def split_repeated(
-    df: DataFrame, keys: Sequence[str], fold: Sequence[str] = ()
+    df: DataFrame, keys: Sequence[str], fold: Sequence[str] = (), carried: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """(one row per key, all other rows with how many copies each has)."""
+    """(one row per key, all other rows with how many copies each has).
+
+    `carried` columns (such as the raw row as text) are part of the other rows only. They do not
+    choose the row that is kept, and they are computed for keys that occur more than once alone.
+    """
+    plain = df.drop(*carried)
+    kept = keep_one(plain, keys, fold)
+    names = [f"_k{i}" for i in range(len(keys))]
+    many = plain.groupBy(*_named_keys(keys, fold)).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    same_key = [c.eqNullSafe(F.col(n)) for c, n in zip(key_columns(keys, fold), names, strict=True)]
+    again = df.join(many, same_key, "left_semi")
     columns = df.columns
-    kept = keep_one(df, keys, fold)
-    copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copias"))
-    mark = kept.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)], F.lit(1).alias("_one"))
+    copies = again.groupBy(*columns).agg(F.count(F.lit(1)).alias("copias"))
+    first = keep_one(again.select(*plain.columns, *carried), keys, fold)
+    mark = first.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(columns)], F.lit(1).alias("_one"))
     # Whole rows are compared: they are distinct on both sides, so no value is hot.
     same = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(columns)]
     left = F.col("copias") - F.coalesce(F.col("_one"), F.lit(0))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,6 +67,7 @@ PRIMARY_AND_UNIQUE: dict[str, list[tuple[str, ...]]] = {
     "accesoria": [("idUnidadFuncional",)],
     "pago": [("idDePago",)],
     "expensa": [("id",), ("idUF", "periodo")],
+    "factura": [("numeroFactura",)],
     "feriado": [("fecha",)],
 }
 
@@ -92,7 +94,7 @@ REQUIRED: dict[str, tuple[str, ...]] = {
     "pago": ("idDePago", "fechaPago", "cbu", "monto"),
     "expensa": ("id", "idUF", "periodo", "montoTotal"),
     "detalle": ("idExpensa", "idPrestadorServicio", "importe"),
-    "factura": ("idExpensa", "fechaEmision", "fechaVencimiento", "nroVencimiento"),
+    "factura": ("numeroFactura", "idExpensa", "fechaEmision", "fechaVencimiento", "nroVencimiento"),
 }
 LENGTHS: dict[str, dict[str, int]] = {
     "consorcio": {"nombre": 100, "domicilio": 100},
@@ -105,15 +107,6 @@ LENGTHS: dict[str, dict[str, int]] = {
 }
 
 
-def column_counts(df: DataFrame, table: str) -> DataFrame:
-    """One row per required or bounded column with its number of violations, from one scan."""
-    bad = {f"{c} NOT NULL": F.col(c).isNull() for c in REQUIRED.get(table, ())}
-    bad |= {f"{c} <= {n}": F.length(c) > n for c, n in LENGTHS.get(table, {}).items()}
-    sums = df.agg(*[F.count_if(rule).alias(f"_{i}") for i, rule in enumerate(bad.values())])
-    named = [F.struct(F.lit(name).alias("regla"), F.col(f"_{i}").alias("violaciones")) for i, name in enumerate(bad)]
-    return sums.select(F.explode(F.array(*named)).alias("r")).select(F.lit(table).alias("tabla"), "r.regla", "r.violaciones")
-
-
 def table_checks(table: str) -> dict[str, Column]:
     """The value rules of a table, by name."""
     c = F.col
@@ -138,29 +131,44 @@ def broken_checks(df: DataFrame, table: str) -> DataFrame:
     return split_valid(df, passes)[1]
 
 
-def summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per declared rule with the number of violations."""
-    parts = []
+def broken_values(table: str) -> dict[str, Column]:
+    """When a row breaks each declared rule on its own values; unknown passes a check."""
+    bad = {name: ~rule for name, rule in table_checks(table).items()}
+    bad |= {f"{c} NOT NULL": F.col(c).isNull() for c in REQUIRED.get(table, ())}
+    return bad | {f"{c} <= {n}": F.length(c) > n for c, n in LENGTHS.get(table, {}).items()}
+
+
+def row_rules(tables: dict[str, DataFrame], table: str) -> DataFrame | None:
+    """One row per value rule and foreign key of a table, all counted in one scan of it.
+
+    The key columns of the parents are joined to it from the left, each key once.
+    """
+    df, bad = tables[table], broken_values(table)
+    for number, (child, column, parent, parent_column) in enumerate(FOREIGN_KEYS):
+        if child != table or parent not in tables:
+            continue
+        known = tables[parent].select(F.col(parent_column).alias(f"_p{number}")).distinct()
+        df = df.join(known, F.col(column) == F.col(f"_p{number}"), "left")
+        bad[f"{column} -> {parent}"] = F.col(column).isNotNull() & F.col(f"_p{number}").isNull()
+    if not bad:
+        return None
+    sums = df.agg(*[F.count_if(rule).alias(f"_{i}") for i, rule in enumerate(bad.values())])
+    named = [F.struct(F.lit(name).alias("regla"), F.col(f"_{i}").alias("violaciones")) for i, name in enumerate(bad)]
+    rows = sums.select(F.explode(F.array(*named)).alias("r"))
+    return rows.select(F.lit(table).alias("tabla"), "r.regla", "r.violaciones")
 
-    def add(table: str, rule: str, bad: DataFrame) -> None:
-        parts.append(
-            bad.agg(F.count(F.lit(1)).alias("violaciones")).select(
-                F.lit(table).alias("tabla"), F.lit(rule).alias("regla"), "violaciones"
-            )
-        )
 
+def summary(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per declared rule with the number of violations.
+
+    Uniqueness needs its own grouping; everything else of a table comes from one scan.
+    """
+    parts = []
     for table, df in tables.items():
         for keys in PRIMARY_AND_UNIQUE.get(table, []):
-            add(table, "unique " + ", ".join(keys), unique_violations(df, keys))
-        for name, rule in table_checks(table).items():
-            add(table, name, check_violations(df, rule))
-        if table in REQUIRED or table in LENGTHS:
-            parts.append(column_counts(df, table))
-    for child, column, parent, parent_column in FOREIGN_KEYS:
-        if child in tables and parent in tables:
-            bad = foreign_key_violations(tables[child], column, tables[parent], parent_column)
-            add(child, f"{column} -> {parent}", bad)
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+            found = unique_violations(df, keys).agg(F.count(F.lit(1)).alias("violaciones"))
+            parts.append(found.select(F.lit(table).alias("tabla"), F.lit("unique " + ", ".join(keys)).alias("regla"), "violaciones"))
+        rules = row_rules(tables, table)
+        if rules is not None:
+            parts.append(rules)
+    return reduce(DataFrame.unionByName, parts)

@@ -1,7 +1,9 @@
 """Insert-if-new, upsert and fill jobs that yield the next state of a table.
 
-The target side is joined from the left: a small change set is broadcast by Spark after its
-own size check and the target is then not shuffled; a hot value in the target can be split.
+The change set is measured (`Changes`): one of at most MOST_BYTES is broadcast, and the target is
+only scanned. For a larger one a bitmap of its keys, whose size is fixed, is broadcast instead:
+target rows outside of it surely have no match and pass by the join, so only the others are
+shuffled.
 """
 
 from __future__ import annotations
@@ -30,18 +32,65 @@ def _same_key(target: DataFrame, source: DataFrame, keys: Sequence[str], fold: S
     return reduce(lambda a, b: a & b, [side(target, k) == side(source, k) for k in keys])
 
 
+#: Largest change set that is broadcast.
+MOST_BYTES = 32 << 20
+#: Bits of the bitmap of keys, in words of 64: at most 2^20 rows are broadcast.
+BITS = 1 << 26
+
+
+def is_small(changes: DataFrame) -> bool:
+    """Whether a change set is of at most MOST_BYTES, by one aggregate over it."""
+    texts = [F.col(f"`{f.name}`") for f in changes.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    width = F.lit(16 * len(changes.columns) + 16)
+    for text in texts:
+        width = width + F.coalesce(F.octet_length(text), F.lit(0))
+    return changes.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0] <= MOST_BYTES
+
+
+def marked(target: DataFrame, columns: Sequence[Column], wanted: DataFrame) -> DataFrame:
+    """Target with `_maybe`: false where its key is surely not among `wanted` (key columns only).
+
+    The keys' hashes are one bitmap of BITS bits, whatever their number.
+    """
+    place = F.pmod(F.xxhash64(*wanted.columns), F.lit(BITS)).alias("_h")
+    bit = F.expr("shiftleft(1L, cast(_h % 64 as int))")
+    word = F.floor(F.col("_h") / 64)
+    words = wanted.select(place).groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    hashed = target.withColumn("_h", F.pmod(F.xxhash64(*columns), F.lit(BITS)))
+    held = hashed.join(F.broadcast(words), F.floor(F.col("_h") / 64) == F.col("_word"), "left")
+    found = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))
+    return held.select(*target.columns, found.alias("_maybe"))
+
+
+def _comparable(target: DataFrame, columns: Sequence[Column], wanted: DataFrame) -> bool:
+    """Equal keys have equal hashes only where their types are the same."""
+    types = [f.dataType for f in target.select(*columns).schema.fields]
+    return types == [f.dataType for f in wanted.schema.fields]
+
+
 def new_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], fold: Sequence[str] = ()
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    fold: Sequence[str] = (),
+    small: bool | None = None,
 ) -> DataFrame:
     """Rows of `source` whose key the target does not have.
 
-    The target is first cut to the keys that the source holds. A small source is broadcast for
-    that, so that the target is only scanned, however large it is.
+    The target is first cut to the keys that the source holds. `small` tells whether the source
+    may be broadcast for that; by default it is measured.
     """
     places = list(enumerate(key_columns(keys, fold)))
-    wanted = source.select(*[c.alias(f"_w{i}") for i, c in places]).distinct()
+    wanted = source.select(*[c.alias(f"_w{i}") for i, c in places])
     stored = target.select(*[c.alias(f"_k{i}") for i, c in places])
-    known = stored.join(wanted, [F.col(f"_k{i}") == F.col(f"_w{i}") for i, _ in places], "left_semi")
+    same = [F.col(f"_k{i}") == F.col(f"_w{i}") for i, _ in places]
+    if is_small(wanted) if small is None else small:
+        known = stored.join(F.broadcast(wanted), same, "left_semi")
+    else:
+        own = [F.col(f"_k{i}") for i, _ in places]
+        if _comparable(stored, own, wanted):
+            stored = marked(stored, own, wanted).filter("_maybe").drop("_maybe")
+        known = stored.join(wanted.distinct(), same, "left_semi")
     return source.join(known, [c == F.col(f"_k{i}") for i, c in places], "left_anti")
 
 
@@ -79,6 +128,7 @@ def update_matched(
     policy: str = OVERWRITE,
     columns: Sequence[str] | None = None,
     fold: Sequence[str] = (),
+    small: bool | None = None,
 ) -> DataFrame:
     """Target with the source's values on matching keys.
 
@@ -92,8 +142,18 @@ def update_matched(
         *[F.col(c).alias(f"_new_{c}") for c in changed],
         F.lit(True).alias("_hit"),
     )
-    same = [c == F.col(f"_k{i}") for i, c in enumerate(key_columns(keys, fold))]
-    joined = target.join(incoming, same, "left")
+    own = key_columns(keys, fold)
+    same = [c == F.col(f"_k{i}") for i, c in enumerate(own)]
+    passing = None
+    if is_small(incoming) if small is None else small:
+        joined = target.join(F.broadcast(incoming), same, "left")
+    else:
+        wanted = incoming.select(*[f"_k{i}" for i, _ in enumerate(own)])
+        if _comparable(target, own, wanted):
+            told = marked(target, own, wanted)
+            passing = told.filter("NOT _maybe").drop("_maybe")
+            target = told.filter("_maybe").drop("_maybe")
+        joined = target.join(incoming, same, "left")
     result = []
     for field in target.schema.fields:
         value = F.col(field.name)
@@ -105,7 +165,8 @@ def update_matched(
                 else F.when(F.col("_hit"), fresh).otherwise(value)
             )
         result.append(value.alias(field.name))
-    return joined.select(*result)
+    updated = joined.select(*result)
+    return updated if passing is None else updated.unionByName(passing)
 
 
 def upsert(
@@ -118,8 +179,9 @@ def upsert(
     fold: Sequence[str] = (),
 ) -> DataFrame:
     """Update the matches and insert the rest; `source` holds each key once."""
-    updated = update_matched(target, source, keys, policy, columns, fold)
-    inserted = shaped_like(target, new_rows(target, source, keys, fold), defaults)
+    small = is_small(source)
+    updated = update_matched(target, source, keys, policy, columns, fold, small)
+    inserted = shaped_like(target, new_rows(target, source, keys, fold, small), defaults)
     return updated.unionByName(inserted)
 
 

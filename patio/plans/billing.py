@@ -35,14 +35,18 @@ def new_invoices(
     extra = is_extraordinary(F.col("categoria"))
     zero = F.lit(0).cast(MONEY)
     # Lines shrink to one row per charge while they are scanned.
-    totals = details.groupBy(F.col("idExpensa").alias("_charge")).agg(
+    month = dates.stored_month(charges, details)
+    totals = details.groupBy(F.col("idExpensa").alias("id"), *month).agg(
         F.sum(F.when(extra, zero).otherwise(F.col("importe"))).alias("_ord"),
         F.sum(F.when(extra, F.col("importe")).otherwise(zero)).alias("_ext"),
     )
     issued = F.lit(str(issue_date)).cast("date")
-    billed = invoices.select(F.col("idExpensa").alias("_charge"))
-    open_charges = charges.select("id").join(billed, F.col("id") == F.col("_charge"), "left_anti")
-    return open_charges.join(totals, F.col("id") == F.col("_charge"), "left").select(
+    known = dates.stored_month(charges, invoices)
+    billed = invoices.select(F.col("idExpensa").alias("id"), *known)
+    open_charges = charges.select("id", "periodo", *{*month, *known}).join(billed, ["id", *known], "left_anti")
+    return open_charges.join(totals, ["id", *month], "left").select(
+        # A charge has one invoice, which takes its number.
+        F.col("id").alias("numeroFactura"),
         F.col("id").alias("idExpensa"),
         issued.alias("fechaEmision"),
         F.date_add(issued, DUE_DAYS).alias("fechaVencimiento"),
@@ -50,6 +54,7 @@ def new_invoices(
         zero.alias("interesPorMora"),
         F.col("_ord").cast(MONEY).alias("totalGastoOrdinario"),
         F.coalesce(F.col("_ext"), zero).cast(MONEY).alias("totalGastoExtraordinario"),
+        "periodo",
     )
 
 
@@ -68,25 +73,38 @@ def _statement(df: DataFrame) -> DataFrame:
     )
 
 
+def latest_balances(balances: DataFrame, statements: DataFrame) -> DataFrame:
+    """The latest statement of each unit, after new statements have come."""
+    columns = ["idUF", "periodo", "saldoTotal"]
+    both = balances.select(*columns).unionByName(statements.select(*columns))
+    return both.groupBy("idUF").agg(F.max("periodo").alias("periodo"), F.max_by("saldoTotal", "periodo").alias("saldoTotal"))
+
+
+def balance_of(charges: DataFrame, balances: DataFrame, same_month: DataFrame) -> DataFrame:
+    """Charges of a month with their unit's balance before it, 0 without one."""
+    recent = balances.select("idUF", "periodo", "saldoTotal").unionByName(same_month.select("idUF", "periodo", "saldoTotal"))
+    found = joins.asof_before(charges, recent, "idUF", "periodo", ["saldoTotal"])
+    return found.withColumn("saldoAnterior", F.coalesce("prev_saldoTotal", F.lit(0))).drop("prev_saldoTotal")
+
+
 def previous_balance(charges: DataFrame, statements: DataFrame, first: dt.date) -> DataFrame:
     """Charges with the balance of the unit's latest earlier statement, 0 without one.
 
     Statements of earlier months are folded to the latest per unit while they are scanned.
     """
-    columns = ["idUF", "periodo", "saldoTotal"]
     start = F.lit(str(first)).cast("date")
-    latest = (
-        statements.filter(F.col("periodo") < start)
-        .groupBy("idUF")
-        .agg(F.max("periodo").alias("periodo"), F.max_by("saldoTotal", "periodo").alias("saldoTotal"))
-    )
-    recent = latest.unionByName(statements.filter(F.col("periodo") >= start).select(*columns))
-    found = joins.asof_before(charges, recent, "idUF", "periodo", ["saldoTotal"])
-    return found.withColumn("saldoAnterior", F.coalesce("prev_saldoTotal", F.lit(0))).drop("prev_saldoTotal")
+    earlier = statements.filter(F.col("periodo") < start)
+    latest = earlier.groupBy("idUF").agg(F.max("periodo").alias("periodo"), F.max_by("saldoTotal", "periodo").alias("saldoTotal"))
+    return balance_of(charges, latest, statements.filter(F.col("periodo") >= start))
 
 
 def new_statements(
-    charges: DataFrame, payments: DataFrame, statements: DataFrame, year: int, month: int
+    charges: DataFrame,
+    payments: DataFrame,
+    statements: DataFrame,
+    year: int,
+    month: int,
+    balances: DataFrame | None = None,
 ) -> DataFrame:
     """A statement for each charge of the month without one."""
     first, last = dates.month_bounds(year, month)
@@ -95,7 +113,10 @@ def new_statements(
         charges.select("id", "idUF", "periodo", "montoTotal")
         .join(done, F.col("id") == F.col("_charge"), "left_anti")
     )
-    with_balance = previous_balance(pending, statements, first)
+    if balances is None:
+        with_balance = previous_balance(pending, statements, first)
+    else:
+        with_balance = balance_of(pending, balances, dates.in_range(statements, "periodo", first, last))
     paid = dates.in_range(payments, "fechaPago", first, last)
     return _statement(
         joins.sum_or_zero(with_balance, paid, "idUF", "nroUnidadFuncional", "monto", "pagosPeriodo")
@@ -122,18 +143,18 @@ def bill_month(
     month: int,
     issue_date: dt.date | str,
     skip_weekends: bool = False,
+    balances: DataFrame | None = None,
 ) -> MonthBill:
-    """Bill one month. Running it again adds nothing and only sets the send date anew."""
+    """Bill one month. Running it again adds nothing and only sets the send date anew.
+
+    With `balances`, the latest statement of each unit, all before the month, earlier statements
+    are not read.
+    """
     first, last = dates.month_bounds(year, month)
     due = dates.in_range(charges, "periodo", first, last)
     return MonthBill(
-        new_invoices(
-            due,
-            dates.in_charge_months(details, first, last),
-            dates.in_charge_months(invoices, first, last),
-            issue_date,
-        ),
-        new_statements(due, payments, statements, year, month),
+        new_invoices(due, details, invoices, issue_date),
+        new_statements(due, payments, statements, year, month, balances),
         with_send_date(due, holidays, issue_date, skip_weekends),
     )
 

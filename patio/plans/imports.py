@@ -136,12 +136,20 @@ def unit_areas(units: DataFrame, accessories: DataFrame) -> DataFrame:
     )
 
 
+#: Building-months that are broadcast at most; each has seven amounts, about 200 bytes in all.
+MOST_MONTHS = 100_000
+#: Parts that the units of a building are dealt to where there are more building-months.
+UNIT_PARTS = 64
+
+
 def allocate(amounts: DataFrame, units: DataFrame, accessories: DataFrame) -> DataFrame:
     """Each unit's rounded share of the seven amounts, by floor area.
 
     The exact fraction is found once per unit. The join of units with the building's months then
-    turns few narrow rows into many wide ones, so both sides are spread over all tasks before
-    it, whichever of them Spark streams: adaptive sizing would only see the small input.
+    turns few narrow rows into many wide ones, so units are spread over all tasks before it:
+    adaptive sizing would only see the small input. The months are stored and counted: up to
+    MOST_MONTHS of them are broadcast; beyond that the units of each building are dealt to parts,
+    and every part gets the months of the building.
     """
     areas = unit_areas(units, accessories)
     whole = areas.groupBy("idConsorcio").agg(F.sum("m2").alias("_m2"))
@@ -152,9 +160,13 @@ def allocate(amounts: DataFrame, units: DataFrame, accessories: DataFrame) -> Da
         .repartition(tasks, "idUF")
     )
     shares = [numbers.apply_fraction(F.col(f"`{c}`"), F.col("_parte")).alias(c) for c in CONCEPTS]
-    # In another column order than the grouping before it, which Spark would take as done.
-    spread = amounts.repartition(tasks, "periodo", "idConsorcio")
-    months = parts.join(spread, "idConsorcio")
+    amounts = materialize(amounts)
+    if amounts.count() <= MOST_MONTHS:
+        months = parts.join(F.broadcast(amounts), "idConsorcio")
+    else:
+        dealt = parts.withColumn("_lote", F.pmod(F.hash("idUF"), F.lit(UNIT_PARTS)))
+        every = amounts.withColumn("_lote", F.explode(F.sequence(F.lit(0), F.lit(UNIT_PARTS - 1))))
+        months = dealt.join(every, ["idConsorcio", "_lote"])
     return computed_once(months, [F.col("idUF"), F.col("idConsorcio"), F.col("periodo"), *shares])
 
 
@@ -196,6 +208,7 @@ def detail_lines(shares: DataFrame, providers: DataFrame, concept_map: DataFrame
     ids = shares.select(
         keys.charge_id(F.col("idUF"), F.col("periodo")).alias("idExpensa"),
         "idConsorcio",
+        "periodo",
         *[F.col(f"`{c}`") for c in CONCEPTS],
     )
     return by_concept(ids).join(concept_offers(providers, concept_map), ["idConsorcio", "concepto"]).select(
@@ -205,6 +218,7 @@ def detail_lines(shares: DataFrame, providers: DataFrame, concept_map: DataFrame
         F.lit(None).cast("string").alias("nroFactura"),
         "tipo",
         "categoria",
+        "periodo",
     )
 
 
@@ -318,7 +332,7 @@ def import_payments(raw: DataFrame, units: DataFrame, payments: DataFrame) -> Pa
     An account of several units goes to the lowest one and is reported.
     """
     good, bad = quality.split_valid(clean_payments(raw), payment_rules())
-    kept, rest = dedup.split_repeated(good, ["idDePago"])
+    kept, rest = dedup.split_repeated(good, ["idDePago"], carried=[RAW_ROW])
     fresh = upsert.new_rows(payments, materialize(_typed(kept)), ["idDePago"])
     owners = joins.account_owner(units)
     linked = fresh.join(owners, "cbu", "left").withColumnRenamed("idUF", "nroUnidadFuncional")
@@ -366,7 +380,7 @@ def import_groups(raw: DataFrame, groups: DataFrame, reference_order: bool = Fal
         rows, rest = dedup.split_repeated(rows, ["nombre"], fold=["nombre"])
     good, bad = quality.split_valid(rows, group_rules())
     if not reference_order:
-        good, rest = dedup.split_repeated(good, ["nombre"], fold=["nombre"])
+        good, rest = dedup.split_repeated(good, ["nombre"], fold=["nombre"], carried=[RAW_ROW])
     source = materialize(_typed(good))
     rejects = _invalid(bad).unionByName(_repeated(rest, F.col("copias")))
     updated = upsert.update_matched(
@@ -402,7 +416,7 @@ def import_providers(raw: DataFrame, groups: DataFrame, providers: DataFrame) ->
         },
     )
     key, fold = ["idConsorcio", "nombre", "tipoServicio"], ["nombre", "tipoServicio"]
-    kept, rest = dedup.split_repeated(good, key, fold=fold)
+    kept, rest = dedup.split_repeated(good, key, fold=fold, carried=[RAW_ROW])
     source = materialize(_typed(kept))
     updated = upsert.update_matched(providers, source, key, columns=["cuenta"], fold=fold)
     fresh = upsert.new_rows(providers, source, key, fold=fold)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from patio.operators.joins import account_owner
 from patio.operators.upsert import fill_null_from
+from patio.schemas import WAITING
 
 UNIT = "nroUnidadFuncional"
 
@@ -22,6 +23,9 @@ def link_payments(payments: DataFrame, changed: DataFrame) -> DataFrame:
 def newly_linked(payments: DataFrame, changed: DataFrame) -> DataFrame:
     """Only the payments that `link_payments` would tie."""
     waiting = payments.filter(F.col(UNIT).isNull())
+    if WAITING in payments.columns:
+        # Stored payments without unit lie in folders of their own.
+        waiting = waiting.filter(F.col(WAITING))
     return fill_null_from(waiting, account_owner(changed), ["cbu"], UNIT, "idUF").filter(
         F.col(UNIT).isNotNull()
     )

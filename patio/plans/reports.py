@@ -140,7 +140,7 @@ def by_origin(
     """Charged amounts per month, split into ordinary and extraordinary."""
     monthly = _charged_per_month(
         dates.in_range(charges, "periodo", date_from, date_to),
-        dates.in_charge_months(details, date_from, date_to),
+        details,
         units,
         group_id,
         origin_col,
@@ -156,15 +156,17 @@ def by_origin(
 def _charged_per_month(
     charges: DataFrame, details: DataFrame, units: DataFrame, group_id: int | None, origin_col: str
 ) -> DataFrame:
+    """Lines belong to the months of their charges, whatever the charge ids are."""
     zero = F.lit(0).cast("decimal(18,2)")
     extra = is_extraordinary(F.col(origin_col))
-    per_charge = details.groupBy(F.col("idExpensa").alias("id")).agg(
+    month = dates.stored_month(charges, details)
+    per_charge = details.groupBy(F.col("idExpensa").alias("id"), *month).agg(
         F.sum(F.when(extra, zero).otherwise(F.col("importe"))).alias("ordinario"),
         F.sum(F.when(extra, F.col("importe")).otherwise(zero)).alias("extraordinario"),
     )
     per_unit = (
-        charges.select("id", "idUF", dates.month_start(F.col("periodo")).alias("mes"))
-        .join(per_charge, "id")
+        charges.select("id", "idUF", dates.month_start(F.col("periodo")).alias("mes"), *month)
+        .join(per_charge, ["id", *month])
         .join(_unit_rows(units, group_id), "idUF", "left_semi")
     )
     return per_unit.groupBy("mes").agg(
@@ -217,8 +219,7 @@ def top_expense_months(
     end = dt.date.fromisoformat(str(date_to))
     last = dates.month_bounds(end.year, end.month)[1]
     whole = dates.in_range(charges, "periodo", first, last)
-    lines = dates.in_charge_months(details, first, last)
-    return _ranked(_charged_per_month(whole, lines, units, group_id, "tipo"), "GASTOS", n)
+    return _ranked(_charged_per_month(whole, details, units, group_id, "tipo"), "GASTOS", n)
 
 
 def top_months(

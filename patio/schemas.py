@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
+# Folder column of payments that have no unit yet.
+WAITING = "espera"
 
 # Table and column names users of the data model rely on.
 TABLES: dict[str, str] = {
@@ -34,16 +36,18 @@ TABLES: dict[str, str] = {
     ),
     "detalle": (
         f"idExpensa bigint, idPrestadorServicio bigint, importe {MONEY}, nroFactura string, "
-        "tipo string, categoria string"
+        "tipo string, categoria string, periodo date"
     ),
     "factura": (
-        "idExpensa bigint, fechaEmision date, fechaVencimiento date, nroVencimiento int, "
-        f"interesPorMora {MONEY}, totalGastoOrdinario {MONEY}, totalGastoExtraordinario {MONEY}"
+        "numeroFactura bigint, idExpensa bigint, fechaEmision date, fechaVencimiento date, nroVencimiento int, "
+        f"interesPorMora {MONEY}, totalGastoOrdinario {MONEY}, totalGastoExtraordinario {MONEY}, periodo date"
     ),
     "estado": (
         f"idExpensa bigint, idUF bigint, periodo date, saldoAnterior {MONEY}, saldoNuevo {MONEY}, "
         f"saldoDeudor {MONEY}, saldoAdelantado {MONEY}, saldoTotal {MONEY}"
     ),
+    # The latest statement of each unit.
+    "saldo": f"idUF bigint, periodo date, saldoTotal {MONEY}",
     "feriado": "fecha date, tipo string, nombre string",
     "rechazo": "origen string, motivo string, fila string, copias bigint",
 }

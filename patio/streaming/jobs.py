@@ -1,7 +1,9 @@
 """Incremental ingest of payment files and of unit changes.
 
-Each micro-batch runs the batch job and publishes in one step. A batch that is repeated after
-a failure changes nothing: known payment ids are skipped and linked payments do not move.
+Each micro-batch runs the batch job and publishes in one step, together with its number. A batch
+that Spark repeats after a failure is known by that number and does nothing. Where the progress of
+a stream itself is lost, files come again under new numbers and still change nothing: known
+payment ids are skipped and linked payments do not move.
 """
 
 from __future__ import annotations
@@ -34,13 +36,15 @@ def ingest_payments(
         .csv(landing)
     )
 
-    def import_batch(batch: DataFrame, _: int) -> None:
+    def import_batch(batch: DataFrame, number: int) -> None:
         store.begin()
+        if number <= store.last_batch(checkpoint):
+            return
         found = import_payments(batch, store.load("unidad"), store.load("pago"))
         stored = store.load("rechazo")
         rejects = materialize(found.rejects.withColumn("origen", F.lit("pago")))
         fresh = new_rows(stored, rejects, ["origen", "motivo", "fila"])
-        store.publish(append={"pago": found.payments, "rechazo": shaped_like(stored, fresh)})
+        store.publish(append={"pago": found.payments, "rechazo": shaped_like(stored, fresh)}, batch=(checkpoint, number))
 
     return (
         files.writeStream.foreachBatch(import_batch)
@@ -63,12 +67,14 @@ def linked_months(store: TableStore, changed: DataFrame) -> dict[str, tuple[Data
     return {"pago": (link_payments(touched, changed), months)}
 
 
-def link_batch(store: TableStore, changed: DataFrame) -> None:
+def link_batch(store: TableStore, changed: DataFrame, batch: tuple[str, int] | None = None) -> None:
     """Tie waiting payments and rewrite only the months that have some."""
     store.begin()
+    if batch and batch[1] <= store.last_batch(batch[0]):
+        return
     months = linked_months(store, changed)
-    if months:
-        store.publish(replace_months=months)
+    if months or batch:
+        store.publish(replace_months=months, batch=batch)
 
 
 def link_unit_changes(
@@ -77,8 +83,8 @@ def link_unit_changes(
     """Follow a folder of unit changes (parquet) and tie waiting payments, then stop."""
     stream = spark.readStream.schema(CHANGES).parquet(changes)
 
-    def on_batch(batch: DataFrame, _: int) -> None:
-        link_batch(store, materialize(batch.select("idUF", "cbu_cvu_actual").distinct()))
+    def on_batch(batch: DataFrame, number: int) -> None:
+        link_batch(store, materialize(batch.select("idUF", "cbu_cvu_actual").distinct()), (checkpoint, number))
 
     return (
         stream.writeStream.foreachBatch(on_batch)

@@ -139,6 +139,7 @@ class Domain:
                 F.lit(None).cast("string").alias("nroFactura"),
                 F.when(flag == "R", "Extraordinario").when(flag == "A", "Ordinario").alias("tipo"),
                 F.when(flag == "R", "EXTRAORDINARIO").otherwise("ORDINARIO").alias("categoria"),
+                "periodo",
             )
         )
 

@@ -118,7 +118,7 @@ def json_array(d: Domain) -> DataFrame:
 def table_scan(d: Domain) -> DataFrame:
     store = TableStore(d.spark, d.scratch("store"))
     store.publish(replace={"pago": d.payments})
-    return store.load("pago").drop(dates.month_column("fechaPago"))
+    return store.load("pago").select(*d.payments.columns)
 
 
 def holiday_load(d: Domain) -> DataFrame:

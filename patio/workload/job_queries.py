@@ -191,7 +191,7 @@ FROM nuevas n""",
         ),
     ),
     "job_i1_detail": Entry(
-        lambda d: charge_import(d).details.drop("nroFactura"),
+        lambda d: charge_import(d).details.drop("nroFactura", "periodo"),
         answer(
             "parte uf expensa prestador concepto",
             f"""
@@ -392,11 +392,11 @@ FROM pago p LEFT JOIN titular t USING (cbu)""",
         stream_import, answer("titular", f"{PAYMENT_COLUMNS} WHERE {GOOD_PAYMENT}")
     ),
     "job_b1_invoices": Entry(
-        lambda d: month_bill(d).invoices,
+        lambda d: month_bill(d).invoices.drop("periodo"),
         answer(
             "detalle expensa uf",
             f"""
-SELECT e.id AS idExpensa, DATE '{ISSUED}' AS fechaEmision, DATE '{ISSUED}' + 10 AS fechaVencimiento,
+SELECT e.id AS numeroFactura, e.id AS idExpensa, DATE '{ISSUED}' AS fechaEmision, DATE '{ISSUED}' + 10 AS fechaVencimiento,
        1 AS nroVencimiento, CAST(0 AS DECIMAL(18,2)) AS interesPorMora,
        CAST(g.comun AS DECIMAL(18,2)) AS totalGastoOrdinario,
        CAST(coalesce(g.extra, 0) AS DECIMAL(18,2)) AS totalGastoExtraordinario

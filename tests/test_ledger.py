@@ -100,7 +100,8 @@ def test_whole_sequence(spark, tmp_path, files):
     assert book.top_months(*year).count() == 6
     # One month of the report reads one month of lines.
     plan = book.by_origin("2025-04-01", "2025-04-30")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(idExpensa_mes" in plan and "PartitionFilters: [isnotnull(periodo_mes" in plan
+    scans = [line.split("PartitionFilters")[1].split("]")[0] for line in plan.splitlines() if "FileScan" in line and "periodo_mes" in line]
+    assert len(scans) >= 2 and all("2025-04-01" in s or "dynamicpruning" in s for s in scans), scans
     assert [(r.nombre, r.deuda) for r in book.top_debtors("2025-06-30").collect()] == [("Ana", Decimal("3120.00"))]
     assert book.payment_gaps(*year).count() == 3
     assert profile.with_both(book.building_profile()).count() == 1
