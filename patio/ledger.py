@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patio.functions import dates, privacy
-from patio.operators import quality, upsert
+from patio.operators import joins, quality, upsert
 from patio.plans import billing, imports, profile, reports
 from patio.schemas import table_schema
 from patio.session import materialize
@@ -157,6 +157,10 @@ class Ledger:
             replace_months={"expensa": (bill.charges, [first])},
         )
 
+    def bill_history(self) -> DataFrame:
+        """Statements of all months at once, as billing every month in order gives."""
+        return billing.bill_history(self.table("expensa"), self.table("pago"))
+
     def reset_billing(self) -> None:
         self.store.begin()
         none = {name: self.spark.createDataFrame([], table_schema(name)) for name in ("factura", "estado", "saldo")}
@@ -175,31 +179,57 @@ class Ledger:
         rows = reports.month_by_apartment_xml(self.month_by_apartment(first, last, group_id))
         xml.write_xml(rows, path, reports.ROOT_MONTHS)
 
-    def by_origin(self, first: Day, last: Day, group_id: int | None = None) -> DataFrame:
+    def by_origin(
+        self, first: Day, last: Day, group_id: int | None = None, origin_col: str = "tipo"
+    ) -> DataFrame:
         tables = [self.table(n) for n in ("expensa", "detalle", "unidad")]
-        return reports.by_origin(*tables, first, last, group_id)
+        return reports.by_origin(*tables, first, last, group_id, origin_col)
 
     def top_months(self, first: Day, last: Day, group_id: int | None = None, n: int = 5) -> DataFrame:
         tables = [self.table(t) for t in ("pago", "expensa", "detalle", "unidad")]
         return reports.top_months(*tables, first, last, group_id, n)
 
-    def top_debtors(self, cutoff: Day, group_id: int | None = None, n: int = 3) -> DataFrame:
+    def top_debtors(
+        self, cutoff: Day, group_id: int | None = None, n: int = 3, one_row_per_person: bool = False
+    ) -> DataFrame:
         tables = [self.table(t) for t in ("persona", "unidad", "pago", "expensa")]
-        return reports.top_debtors(*tables, cutoff, group_id, n)
+        return reports.top_debtors(*tables, cutoff, group_id, n, one_row_per_person)
 
-    def payment_gaps(self, first: Day, last: Day, group_id: int | None = None) -> DataFrame:
+    def payment_gaps(self, first: Day, last: Day, group_id: int | None = None, marks: bool = False) -> DataFrame:
+        tables = [self.table(n) for n in ("pago", "unidad", "consorcio")]
+        return reports.payment_gaps(*tables, first, last, group_id, marks)
+
+    def payment_gaps_nested(
+        self, first: Day, last: Day, group_id: int | None = None, chunk: int = reports.CHUNK
+    ) -> DataFrame:
         tables = [self.table(n) for n in ("pago", "unidad", "consorcio")]
-        return reports.payment_gaps(*tables, first, last, group_id)
+        return reports.payment_gaps_nested(*tables, first, last, group_id, chunk)
 
     def payment_gaps_xml(
         self, path: str, first: Day, last: Day, group_id: int | None = None, siblings: bool = True
     ) -> None:
-        lines = reports.payment_gaps_xml(self.payment_gaps(first, last, group_id), siblings)
+        lines = reports.payment_gaps_xml(self.payment_gaps(first, last, group_id, marks=True), siblings)
         xml.write_xml(xml.in_document_order(lines), path, reports.ROOT_PAYMENTS)
 
     def building_profile(self) -> DataFrame:
         return profile.building_profile(*[self.table(n) for n in ("consorcio", "unidad", "accesoria")])
 
+    def buildings_with_both(self) -> DataFrame:
+        return profile.with_both(self.building_profile())
+
+    def buildings_with_none(self) -> DataFrame:
+        return profile.with_none(self.building_profile())
+
+    def buildings_with_storage_only(self) -> DataFrame:
+        return profile.storage_only(self.building_profile())
+
+    def buildings_with_parking_only(self) -> DataFrame:
+        return profile.parking_only(self.building_profile())
+
+    def shared_accounts(self) -> DataFrame:
+        """Accounts that several units hold, with the lowest unit, which gets their payments."""
+        return joins.account_owner(self.table("unidad")).filter("unidades > 1")
+
     def counts(self) -> DataFrame:
         return profile.table_counts({name: self.table(name) for name in COUNTED})
 

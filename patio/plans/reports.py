@@ -305,17 +305,30 @@ def top_debtors(
 
 
 def payment_days(payments: DataFrame, date_from: Day, date_to: Day) -> DataFrame:
-    """Per unit and day: number of payments, the last payment and the days to the next one.
+    """Per unit and day: number of payments, the last payment and the days to the next one."""
+    return _days(_paid(payments, date_from, date_to))
 
-    One row per unit and day, so the window holds at most the days of the range.
+
+def _paid(payments: DataFrame, date_from: Day, date_to: Day) -> DataFrame:
+    linked = _linked_payments(payments, date_from, date_to)
+    return linked.select("idDePago", F.col("nroUnidadFuncional").alias("idUF"), "fechaPago")
+
+
+def _days(paid: DataFrame) -> DataFrame:
+    """One row per unit and day, so the windows hold at most the days of the range.
+
+    `antes` counts the unit's payments of earlier days.
     """
-    days = (
-        _linked_payments(payments, date_from, date_to)
-        .groupBy(F.col("nroUnidadFuncional").alias("idUF"), "fechaPago")
-        .agg(F.count(F.lit(1)).alias("pagos"), F.max("idDePago").alias("ultimo"))
+    days = paid.groupBy("idUF", "fechaPago").agg(
+        F.count(F.lit(1)).alias("pagos"), F.min("idDePago").alias("primero"), F.max("idDePago").alias("ultimo")
     )
     by_day = Window.partitionBy("idUF").orderBy("fechaPago")
-    return days.withColumn("dias", F.date_diff(F.lead("fechaPago").over(by_day), F.col("fechaPago")))
+    earlier = by_day.rowsBetween(Window.unboundedPreceding, -1)
+    return days.select(
+        "*",
+        F.date_diff(F.lead("fechaPago").over(by_day), F.col("fechaPago")).alias("dias"),
+        F.coalesce(F.sum("pagos").over(earlier), F.lit(0)).alias("antes"),
+    )
 
 
 def _named_units(units: DataFrame, groups: DataFrame, group_id: int | None) -> DataFrame:
@@ -330,20 +343,35 @@ def payment_gaps(
     date_from: Day,
     date_to: Day,
     group_id: int | None = None,
+    marks: bool = False,
 ) -> DataFrame:
     """One row per payment with the days to the unit's next one; NULL after the last.
 
     Payments of one day are 0 apart except the day's last one. The gap is found per day and
     handed to that last payment over its unique id, so a unit or day with very many payments
-    is never sorted in one task.
+    is never sorted in one task. Payments are scanned and dealt by their id once: the days are
+    counted over the same exchange. With `marks`, `abre` and `fin` tell the first and the last
+    payment of a unit.
     """
-    paid = _linked_payments(payments, date_from, date_to).select(
-        "idDePago", F.col("nroUnidadFuncional").alias("idUF"), "fechaPago"
-    )
-    steps = payment_days(payments, date_from, date_to).select(
-        F.col("ultimo").alias("idDePago"), "dias", F.lit(True).alias("_cierra")
-    )
+    paid = _paid(payments, date_from, date_to).repartition("idDePago")
+    opens = F.col("antes") == 0
+
+    def step(payment: str, days: Column, closes: bool, first: Column) -> Column:
+        last = F.lit(closes) & F.col("dias").isNull()
+        return F.struct(
+            F.col(payment).alias("idDePago"),
+            days.cast("int").alias("dias"),
+            F.lit(closes).alias("_cierra"),
+            first.alias("abre"),
+            last.alias("fin"),
+        )
+
+    alone = F.col("primero") == F.col("ultimo")
+    closing = step("ultimo", F.col("dias"), True, opens & alone)
+    opening = step("primero", F.lit(None), False, F.lit(True))
+    steps = _days(paid).select(F.inline(F.when(opens & ~alone, F.array(opening, closing)).otherwise(F.array(closing))))
     gap = F.when(F.col("_cierra"), F.col("dias")).otherwise(F.lit(0))
+    marked = [F.coalesce(c, F.lit(False)).alias(c) for c in ("abre", "fin")] if marks else []
     return (
         paid.join(steps, "idDePago", "left")
         .join(_named_units(units, groups, group_id), "idUF")
@@ -354,10 +382,15 @@ def payment_gaps(
             "idDePago",
             F.col("fechaPago").alias("fecha"),
             gap.alias("dias_hasta_siguiente"),
+            *marked,
         )
     )
 
 
+#: Payments in one array of the nested report.
+CHUNK = 1000
+
+
 def payment_gaps_nested(
     payments: DataFrame,
     units: DataFrame,
@@ -365,40 +398,37 @@ def payment_gaps_nested(
     date_from: Day,
     date_to: Day,
     group_id: int | None = None,
+    chunk: int = CHUNK,
 ) -> DataFrame:
-    """One row per unit with its payment days in order.
+    """The payments of each unit in order, as arrays of at most `chunk` with their number.
 
-    Each day carries its number of payments: all but the last of a day have gap 0. The array is
-    as long as the unit has payment days, whatever the number of payments.
+    A payment's place is its place within the day plus the payments of earlier days, so nothing
+    larger than one day of a unit is ever sorted.
     """
-    days = payment_days(payments, date_from, date_to).groupBy("idUF").agg(
-        F.sort_array(
-            F.collect_list(
-                F.struct(
-                    F.col("fechaPago").alias("fecha"),
-                    "pagos",
-                    F.col("dias").alias("dias_hasta_siguiente"),
-                )
-            )
-        ).alias("dias_de_pago")
+    paid = _paid(payments, date_from, date_to).repartition("idUF", "fechaPago")
+    in_day = Window.partitionBy("idUF", "fechaPago").orderBy("idDePago")
+    placed = paid.withColumn("_n", F.row_number().over(in_day)).join(_days(paid), ["idUF", "fechaPago"])
+    gap = F.when(F.col("idDePago") == F.col("ultimo"), F.col("dias")).otherwise(F.lit(0))
+    entry = F.struct(F.col("fechaPago").alias("fecha"), "idDePago", gap.alias("dias_hasta_siguiente"))
+    blocks = placed.groupBy("idUF", F.floor((F.col("antes") + F.col("_n") - 1) / chunk).alias("bloque")).agg(
+        F.sort_array(F.collect_list(entry)).alias("pagos")
     )
-    return days.join(_named_units(units, groups, group_id), "idUF").select(
-        "idUF", "numeroUnidad", "consorcio", "dias_de_pago"
+    return blocks.join(_named_units(units, groups, group_id), "idUF").select(
+        "idUF", "numeroUnidad", "consorcio", "bloque", "pagos"
     )
 
 
 def payment_gaps_xml(gaps: DataFrame, siblings: bool = True) -> DataFrame:
-    """Lines of the payment document from `payment_gaps`, with their order columns."""
-    unit = ["idUF", "numeroUnidad", "consorcio"]
+    """Lines of the payment document from `payment_gaps` with marks, with their order columns."""
     return xml.to_xml_nested(
-        parents=gaps.select(*unit).distinct(),
-        children=gaps,
-        keys=["idUF"],
+        gaps,
+        opens="abre",
+        closes="fin",
         parent_tag="UF",
         child_tag="pago",
         parent_attributes={"idUF": "idUF", "nro": "numeroUnidad", "consorcio": "consorcio"},
         child_attributes={"fecha": "fecha", "dias_hasta_siguiente": "dias_hasta_siguiente"},
-        order_parents=["consorcio", "numeroUnidad"],
+        order_parents=["consorcio", "numeroUnidad", "idUF"],
         order_children=["fecha", "idDePago"],
         siblings=siblings,
     )

@@ -28,9 +28,9 @@ def to_xml_rows(df: DataFrame, row_tag: str, names: dict[str, str] | None = None
 
 
 def to_xml_nested(
-    parents: DataFrame,
-    children: DataFrame,
-    keys: Sequence[str],
+    rows: DataFrame,
+    opens: str,
+    closes: str,
     parent_tag: str,
     child_tag: str,
     parent_attributes: dict[str, str],
@@ -39,32 +39,29 @@ def to_xml_nested(
     order_children: Sequence[str],
     siblings: bool = False,
 ) -> DataFrame:
-    """Parent elements with child elements as text lines with sortable keys.
+    """Parent elements with child elements as text lines with sortable keys, from one pass.
 
-    `children` carries the parent columns as well. With `siblings` the children follow a
-    closed parent element instead of sitting inside it. Sorting by the `o*` columns and writing
-    `xml` gives the document body, however many children one parent has.
+    Every row is a child that carries its parent's columns; `opens` and `closes` are true on the
+    first and the last row of a parent. With `siblings` the children follow a closed parent
+    element instead of sitting inside it. Sorting by the `o*` columns and writing `xml` gives the
+    document body, however many children one parent has.
     """
     head = element(parent_tag, {a: F.col(c) for a, c in parent_attributes.items()})
     opening = head if siblings else F.regexp_replace(head, r"/>$", ">")
+    child = element(child_tag, {a: F.col(c) for a, c in child_attributes.items()})
 
-    def line(df: DataFrame, place: int, xml: Column) -> DataFrame:
+    def line(place: int, xml: Column) -> Column:
         own = [
-            (F.col(c) if place == 1 else F.lit(None).cast(children.schema[c].dataType))
-            for c in order_children
+            (F.col(c) if place == 1 else F.lit(None).cast(rows.schema[c].dataType)).alias(f"oc{i}")
+            for i, c in enumerate(order_children)
         ]
-        return df.select(
-            *[F.col(c).alias(f"o{i}") for i, c in enumerate([*order_parents, *keys])],
-            F.lit(place).alias("o_lugar"),
-            *[v.alias(f"oc{i}") for i, v in enumerate(own)],
-            xml.alias("xml"),
-        )
+        return F.struct(F.lit(place).alias("o_lugar"), *own, xml.alias("xml"))
 
-    child = element(child_tag, {a: F.col(c) for a, c in child_attributes.items()})
-    lines = line(parents, 0, opening).unionByName(line(children, 1, child))
+    lines = [F.when(F.col(opens), line(0, opening)), line(1, child)]
     if not siblings:
-        lines = lines.unionByName(line(parents, 2, F.lit(f"</{parent_tag}>")))
-    return lines
+        lines.append(F.when(F.col(closes), line(2, F.lit(f"</{parent_tag}>"))))
+    parents = [F.col(c).alias(f"o{i}") for i, c in enumerate(order_parents)]
+    return rows.select(*parents, F.inline(F.array_compact(F.array(*lines))))
 
 
 def in_document_order(lines: DataFrame) -> DataFrame:

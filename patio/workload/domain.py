@@ -18,9 +18,8 @@ from patio.functions.text import OWNER, TENANT
 from patio.schemas import CONCEPT_MAP, CONCEPTS, MONEY, table_schema
 from patio.session import shared_folder
 
-# The span of the sample's payment dates.
-FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
-MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)][:80]
+# The months of the sample's payments, for SQL that must name its columns.
+MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13) if (y, m) <= (2001, 8)]
 
 # Service types a user would supply for the seven concepts.
 CONCEPT_ROWS = [
@@ -97,6 +96,12 @@ class Domain:
             F.col("o_totalprice").cast(MONEY).alias("monto"),
         )
 
+    @functools.cached_property
+    def span(self) -> tuple[str, str]:
+        """First and last day with a payment."""
+        days = self.payments.agg(F.min("fechaPago"), F.max("fechaPago")).first()
+        return str(days[0]), str(days[1])
+
     def _order_months(self) -> DataFrame:
         return self.read("orders").select(
             "o_orderkey",

@@ -12,7 +12,7 @@ from patio.operators import dedup, joins, quality, upsert
 from patio.plans import billing, imports, reports
 from patio.workload import raw
 from patio.workload.answers import answer
-from patio.workload.domain import FIRST_DAY, LAST_DAY, Domain
+from patio.workload.domain import Domain
 from patio.workload.entry import Entry
 from patio.workload.job_queries import stored_payments, stored_units
 
@@ -354,7 +354,7 @@ FROM monto JOIN concepto USING (orden) WHERE monto > 0""",
             d.charges,
             d.details.filter("tipo IS NOT NULL"),
             d.charges.limit(0).select(F.col("id").alias("idExpensa")),
-            LAST_DAY,
+            d.span[1],
         ).select("idExpensa", "totalGastoOrdinario", "totalGastoExtraordinario"),
         answer(
             "expensa detalle",
@@ -438,7 +438,7 @@ SELECT mes, total, CAST(sum(total) OVER () / count(*) OVER () AS DECIMAL(18,2))
         ),
     ),
     "win_lead_gap": Entry(
-        lambda d: reports.payment_days(d.payments, FIRST_DAY, LAST_DAY).select("idUF", "fechaPago", "pagos", "dias"),
+        lambda d: reports.payment_days(d.payments, *d.span).select("idUF", "fechaPago", "pagos", "dias"),
         answer(
             "pago",
             """

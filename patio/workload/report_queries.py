@@ -8,35 +8,35 @@ from pyspark.sql import functions as F
 from patio.plans import profile, reports
 from patio.sources import holidays, xml
 from patio.workload.answers import answer
-from patio.workload.domain import FIRST_DAY, LAST_DAY, MONTHS, Domain
+from patio.workload.domain import MONTHS, Domain
 from patio.workload.entry import Entry
 
-SPAN = (FIRST_DAY, LAST_DAY)
 CUTOFF = "2001-07-15"
 
 
 def cashflow(d: Domain) -> DataFrame:
-    weeks = reports.weekly_cashflow(d.payments, d.units, *SPAN)
+    weeks = reports.weekly_cashflow(d.payments, d.units, *d.span)
     return weeks.withColumn("promedio_periodo", F.col("promedio_periodo").cast("decimal(18,2)"))
 
 
 def pivot(d: Domain) -> DataFrame:
-    return reports.month_by_apartment(d.payments, d.units, d.groups, *SPAN)
+    return reports.month_by_apartment(d.payments, d.units, d.groups, *d.span)
 
 
 def gaps(d: Domain) -> DataFrame:
-    return reports.payment_gaps(d.payments, d.units, d.groups, *SPAN)
+    return reports.payment_gaps(d.payments, d.units, d.groups, *d.span)
 
 
 def nested(d: Domain) -> DataFrame:
-    days = reports.payment_gaps_nested(d.payments, d.units, d.groups, *SPAN)
+    """A chunk holds few payments here, so that units have several."""
+    blocks = reports.payment_gaps_nested(d.payments, d.units, d.groups, *d.span, chunk=4)
     one = F.transform(
-        "dias_de_pago",
+        "pagos",
         lambda x: F.concat_ws(
-            ":", x.fecha.cast("string"), x.pagos.cast("string"), x.dias_hasta_siguiente.cast("string")
+            ":", x.fecha.cast("string"), x.idDePago.cast("string"), x.dias_hasta_siguiente.cast("string")
         ),
     )
-    return days.select("idUF", "numeroUnidad", "consorcio", F.array_join(one, "|").alias("dias"))
+    return blocks.select("idUF", "numeroUnidad", "consorcio", "bloque", F.array_join(one, "|").alias("pagos"))
 
 
 def debtors(d: Domain) -> DataFrame:
@@ -47,12 +47,17 @@ def building_profile(d: Domain) -> DataFrame:
     return profile.building_profile(d.groups, d.units, d.accessories)
 
 
+def xml_lines(d: Domain, siblings: bool) -> DataFrame:
+    marked = reports.payment_gaps(d.payments, d.units, d.groups, *d.span, marks=True)
+    return xml.in_document_order(reports.payment_gaps_xml(marked, siblings))
+
+
 def xml_nested(d: Domain) -> DataFrame:
-    return xml.in_document_order(reports.payment_gaps_xml(gaps(d), siblings=False))
+    return xml_lines(d, siblings=False)
 
 
 def xml_siblings(d: Domain) -> DataFrame:
-    return xml.in_document_order(reports.payment_gaps_xml(gaps(d)))
+    return xml_lines(d, siblings=True)
 
 
 PIVOT_CELLS = ",\n".join(
@@ -124,7 +129,7 @@ FROM semanas""",
         ),
     ),
     "q_r3_by_origin": Entry(
-        lambda d: reports.by_origin(d.charges, d.details, d.units, *SPAN),
+        lambda d: reports.by_origin(d.charges, d.details, d.units, *d.span),
         answer(
             "detalle expensa uf",
             f"""
@@ -183,13 +188,11 @@ ORDER BY deuda DESC, apellido, nombre, dni LIMIT 20""",
             "pago uf consorcio",
             f"""
 WITH g AS ({GAPS}),
-dias AS (
-  SELECT idUF, numeroUnidad, consorcio, fecha, count(*) AS pagos,
-         lead(fecha) OVER (PARTITION BY idUF ORDER BY fecha) - fecha AS paso
-  FROM g GROUP BY idUF, numeroUnidad, consorcio, fecha)
-SELECT idUF, numeroUnidad, consorcio,
-       string_agg(concat_ws(':', CAST(fecha AS VARCHAR), CAST(pagos AS VARCHAR), CAST(paso AS VARCHAR)), '|' ORDER BY fecha) AS dias
-FROM dias GROUP BY idUF, numeroUnidad, consorcio""",
+n AS (SELECT *, (row_number() OVER (PARTITION BY idUF ORDER BY fecha, idDePago) - 1) // 4 AS bloque FROM g)
+SELECT idUF, numeroUnidad, consorcio, bloque,
+       string_agg(concat_ws(':', CAST(fecha AS VARCHAR), CAST(idDePago AS VARCHAR), CAST(dias_hasta_siguiente AS VARCHAR)),
+                  '|' ORDER BY fecha, idDePago) AS pagos
+FROM n GROUP BY idUF, numeroUnidad, consorcio, bloque""",
         ),
     ),
     "w_xml_nested": Entry(

@@ -147,11 +147,17 @@ def test_gaps(small, table, spark, tmp_path):
     gaps = reports.payment_gaps(payments, units, groups, "2025-04-01", "2025-04-30")
     got = {r.idDePago: r.dias_hasta_siguiente for r in gaps.collect()}
     assert got == {1: 0, 2: 0, 3: 24, 4: None, 6: None}
-    nested = reports.payment_gaps_nested(payments, units, groups, "2025-04-01", "2025-04-30").collect()
-    days = {r.idUF: [tuple(x) for x in r.dias_de_pago] for r in nested}
-    assert days == {1: [(D(2025, 4, 6), 3, 24), (D(2025, 4, 30), 1, None)], 3: [(D(2025, 4, 1), 1, None)]}
-
-    lines = xml.in_document_order(reports.payment_gaps_xml(gaps))
+    args = (payments, units, groups, "2025-04-01", "2025-04-30")
+    nested = {(r.idUF, r.bloque): [tuple(x) for x in r.pagos] for r in reports.payment_gaps_nested(*args, chunk=2).collect()}
+    first, last = D(2025, 4, 6), D(2025, 4, 30)
+    assert nested == {
+        (1, 0): [(first, 1, 0), (first, 2, 0)], (1, 1): [(first, 3, 24), (last, 4, None)], (3, 0): [(D(2025, 4, 1), 6, None)],
+    }
+
+    marked = reports.payment_gaps(*args, marks=True)
+    assert [r.idDePago for r in marked.filter("abre").orderBy("idDePago").collect()] == [1, 6]
+    assert [r.idDePago for r in marked.filter("fin").orderBy("idDePago").collect()] == [4, 6]
+    lines = xml.in_document_order(reports.payment_gaps_xml(marked, siblings=False))
     body = [r.xml for r in lines.collect()]
     assert body == [
         '<UF idUF="3" nro="1" consorcio="Dos">', '<pago fecha="2025-04-01"/>', "</UF>",
@@ -162,7 +168,7 @@ def test_gaps(small, table, spark, tmp_path):
         '<pago fecha="2025-04-30"/>',
         "</UF>",
     ]
-    flat = [r.xml for r in xml.in_document_order(reports.payment_gaps_xml(gaps, siblings=True)).collect()]
+    flat = [r.xml for r in xml.in_document_order(reports.payment_gaps_xml(marked)).collect()]
     assert flat[0] == '<UF idUF="3" nro="1" consorcio="Dos"/>' and len(flat) == 7
 
     xml.write_xml(lines, str(tmp_path / "doc"), reports.ROOT_PAYMENTS)
@@ -173,6 +179,23 @@ def test_gaps(small, table, spark, tmp_path):
     assert parsed.count() >= 1
 
 
+def test_payment_document_scans_payments_once(small, spark, tmp_path):
+    """Children, openings and closings come from one scan, also those of the days' gaps."""
+    groups, units = small
+    spark.range(40).selectExpr(
+        "id AS idDePago", "id % 3 + 1 AS nroUnidadFuncional", "date_add(DATE'2025-04-01', cast(id % 5 AS int)) AS fechaPago",
+        "'1' AS cbu", "cast(1 AS decimal(18,2)) AS monto",
+    ).write.parquet(str(tmp_path / "pago"))
+    payments = spark.read.parquet(str(tmp_path / "pago"))
+    for siblings, lines in ((True, 43), (False, 46)):
+        marked = reports.payment_gaps(payments, units, groups, "2025-04-01", "2025-04-30", marks=True)
+        document = xml.in_document_order(reports.payment_gaps_xml(marked, siblings))
+        assert len(document.collect()) == lines
+        final = document._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        reused = final.count("ReusedExchange")
+        assert final.count("FileScan parquet") - reused <= 1 and reused >= 1, final
+
+
 def test_empty_document(spark, tmp_path):
     none = spark.createDataFrame([], "xml string")
     xml.write_xml(none, str(tmp_path / "doc"), reports.ROOT_MONTHS)
