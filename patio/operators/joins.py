@@ -10,31 +10,49 @@ from pyspark.sql import functions as F
 from patio.functions.keys import match_key
 
 
+def time_bucket(df: DataFrame, time: str) -> Column:
+    """The month of a date or timestamp; other points in time form one bucket."""
+    kind = df.schema[time].dataType.typeName()
+    return F.trunc(time, "month") if kind in ("date", "timestamp", "timestamp_ntz") else F.lit(0)
+
+
 def asof_before(
     left: DataFrame,
     right: DataFrame,
     by: str,
     time: str,
     values: Sequence[str],
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Each left row with the latest right row of the same `by` and a strictly earlier `time`.
 
-    Right rows are first reduced to one per (by, time), so a window sees at most two rows per
-    point in time that occurs on either side: left rows are reduced to their distinct points
-    as well and get the answer back by an equi-join.
+    Both sides are first reduced to one row per (by, time). A key with very many points is cut
+    into buckets of time (by default months; `bucket` is a rising function of `time`): a window
+    holds one bucket of a key, and what a bucket starts with is the last row of the buckets
+    before it, found over one row per bucket.
     """
+    span = time_bucket(left, time) if bucket is None else bucket
     points = left.select(by, time).distinct()
     picked = [F.max_by(F.col(v), F.struct(*[F.col(x) for x in values])).alias(v) for v in values]
     steps = right.groupBy(by, time).agg(*picked)
-    tagged = points.select(
-        by, time, F.lit(0).alias("_side"), *[F.lit(None).cast(steps.schema[v].dataType).alias(v) for v in values]
-    ).unionByName(steps.select(by, time, F.lit(1).alias("_side"), *values))
+    tagged = (
+        points.select(by, time, F.lit(0).alias("_side"), *[F.lit(None).cast(steps.schema[v].dataType).alias(v) for v in values])
+        .unionByName(steps.select(by, time, F.lit(1).alias("_side"), *values))
+        .withColumn("_lapso", span)
+        .repartition(by, "_lapso")
+    )
+    step = F.when(F.col("_side") == 1, F.struct(*values))
     # A left point sorts before a right row of the same time, which keeps the match strict.
-    earlier = Window.partitionBy(by).orderBy(time, "_side").rowsBetween(Window.unboundedPreceding, -1)
-    row = F.last(F.when(F.col("_side") == 1, F.struct(*values)), ignorenulls=True).over(earlier)
+    inside = Window.partitionBy(by, "_lapso").orderBy(time, "_side").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(by).orderBy("_lapso").rowsBetween(Window.unboundedPreceding, -1)
+    starts = tagged.groupBy(by, "_lapso").agg(F.max_by(step, F.when(F.col("_side") == 1, F.col(time))).alias("_ultimo"))
+    carried = starts.select(by, "_lapso", F.last("_ultimo", ignorenulls=True).over(before).alias("_traido"))
     answers = (
-        tagged.withColumn("_prev", row)
-        .filter("_side = 0 AND _prev IS NOT NULL")
+        tagged.withColumn("_prev", F.last(step, ignorenulls=True).over(inside))
+        .filter("_side = 0")
+        .join(carried, [by, "_lapso"])
+        .withColumn("_prev", F.coalesce("_prev", "_traido"))
+        .filter("_prev IS NOT NULL")
         .select(by, time, *[F.col(f"_prev.{v}").alias(f"prev_{v}") for v in values])
     )
     return left.join(answers, [by, time], "left")

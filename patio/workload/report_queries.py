@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,17 @@ def nested(d: Domain) -> DataFrame:
     return blocks.select("idUF", "numeroUnidad", "consorcio", "bloque", F.array_join(one, "|").alias("pagos"))
 
 
+def empty_guard(d: Domain) -> DataFrame:
+    """A range without payments is told from one with payments before anything is pivoted."""
+    first, last = d.span
+    before = str(dt.date.fromisoformat(first) - dt.timedelta(days=1))
+    found = []
+    for label, span in (("antes", ("1900-01-01", before)), ("todo", (first, last))):
+        wide = reports.month_by_apartment(d.payments, d.units, d.groups, *span)
+        found.append((label, len(wide.columns) - 2, wide.isEmpty()))
+    return d.spark.createDataFrame(found, "rango string, meses int, vacio boolean")
+
+
 def debtors(d: Domain) -> DataFrame:
     return reports.top_debtors(d.persons, d.units, d.payments, d.charges, CUTOFF, n=20)
 
@@ -120,6 +133,16 @@ FROM semanas""",
         pivot,
         answer("pago uf consorcio", f"SELECT consorcio, departamento, {PIVOT_CELLS} {PIVOT_FROM}"),
     ),
+    "flt_empty_guard": Entry(
+        empty_guard,
+        answer(
+            "pago uf",
+            """
+WITH p AS (SELECT strftime(fechaPago, '%Y-%m') AS mes FROM pago JOIN uf ON idUF = nroUnidadFuncional)
+SELECT 'todo' AS rango, CAST(count(DISTINCT mes) AS INTEGER) AS meses, count(*) = 0 AS vacio FROM p
+UNION ALL SELECT 'antes', 0, true""",
+        ),
+    ),
     "w_xml_rows": Entry(
         lambda d: reports.month_by_apartment_xml(pivot(d)),
         answer(

@@ -104,3 +104,25 @@ def test_history_of_a_long_unit(spark):
             paid = sum(r.monto for r in rows if r.nroUnidadFuncional == unit and r.fechaPago.replace(day=1) == period)
             balance += 500 - paid
             assert got[(unit, period)] == balance
+
+
+def test_asof_of_one_key_lies_in_many_buckets(spark):
+    """A key with most points is cut by month and still finds rows of earlier months."""
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.hash("id") % 900 + 900).cast("int"))
+    key = F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(1))
+    left = spark.range(600).select(key.alias("k"), day.alias("t"))
+    right = spark.range(700, 740).select(key.alias("k"), day.alias("t"), F.col("id").alias("v"))
+    found = joins.asof_before(left, right, "k", "t", ["v"])
+    steps = {}
+    for r in right.collect():
+        steps[(r.k, r.t)] = max(r.v, steps.get((r.k, r.t), 0))
+    want = []
+    for r in left.collect():
+        earlier = [(t, v) for (k, t), v in steps.items() if k == r.k and t < r.t]
+        want.append((r.k, r.t, max(earlier)[1] if earlier else None))
+    key_of = lambda x: (x[0], x[1], x[2] or 0)
+    assert sorted(map(tuple, found.collect()), key=key_of) == sorted(want, key=key_of)
+    windows = [w for w in found._jdf.queryExecution().toString().splitlines() if "Window [last" in w and "_side" in w]
+    assert windows and all("_lapso" in w for w in windows)
+    weekly = joins.asof_before(left, right, "k", "t", ["v"], bucket=F.trunc("t", "week"))
+    assert sorted(map(tuple, weekly.collect()), key=key_of) == sorted(want, key=key_of)
