@@ -142,32 +142,39 @@ MOST_MONTHS = 100_000
 UNIT_PARTS = 64
 
 
-def allocate(amounts: DataFrame, units: DataFrame, accessories: DataFrame) -> DataFrame:
+def allocate(
+    amounts: DataFrame, units: DataFrame, accessories: DataFrame, known: DataFrame | None = None
+) -> DataFrame:
     """Each unit's rounded share of the seven amounts, by floor area.
 
-    The exact fraction is found once per unit. The join of units with the building's months then
-    turns few narrow rows into many wide ones, so units are spread over all tasks before it:
-    adaptive sizing would only see the small input. The months are stored and counted: up to
+    The exact fraction is found once per unit. Pairs of unit and month are narrow rows, dealt
+    over all tasks (adaptive sizing would only see the small input) and cut to those that are not
+    `known` before the seven amounts join them. The months are stored and counted: up to
     MOST_MONTHS of them are broadcast; beyond that the units of each building are dealt to parts,
     and every part gets the months of the building.
     """
     areas = unit_areas(units, accessories)
     whole = areas.groupBy("idConsorcio").agg(F.sum("m2").alias("_m2"))
     tasks = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = (
-        areas.join(whole, "idConsorcio")
-        .select("idUF", "idConsorcio", numbers.fraction_of(F.col("m2"), F.col("_m2")).alias("_parte"))
-        .repartition(tasks, "idUF")
+    parts = areas.join(whole, "idConsorcio").select(
+        "idUF", "idConsorcio", numbers.fraction_of(F.col("m2"), F.col("_m2")).alias("_parte")
     )
     shares = [numbers.apply_fraction(F.col(f"`{c}`"), F.col("_parte")).alias(c) for c in CONCEPTS]
     amounts = materialize(amounts)
+    place = ["idConsorcio", "periodo"]
     if amounts.count() <= MOST_MONTHS:
-        months = parts.join(F.broadcast(amounts), "idConsorcio")
+        pairs = parts.join(F.broadcast(amounts.select(*place)), "idConsorcio")
+        months, keys = F.broadcast(amounts), place
     else:
         dealt = parts.withColumn("_lote", F.pmod(F.hash("idUF"), F.lit(UNIT_PARTS)))
-        every = amounts.withColumn("_lote", F.explode(F.sequence(F.lit(0), F.lit(UNIT_PARTS - 1))))
-        months = dealt.join(every, ["idConsorcio", "_lote"])
-    return computed_once(months, [F.col("idUF"), F.col("idConsorcio"), F.col("periodo"), *shares])
+        months = amounts.withColumn("_lote", F.explode(F.sequence(F.lit(0), F.lit(UNIT_PARTS - 1))))
+        pairs = dealt.join(months.select(*place, "_lote"), ["idConsorcio", "_lote"])
+        keys = [*place, "_lote"]
+    pairs = pairs.repartition(tasks, "idUF", "periodo")
+    if known is not None:
+        pairs = pairs.join(known.select("idUF", "periodo"), ["idUF", "periodo"], "left_anti")
+    rows = pairs.join(months, keys)
+    return computed_once(rows, [F.col("idUF"), F.col("idConsorcio"), F.col("periodo"), *shares])
 
 
 def _total(shares: DataFrame) -> Column:
@@ -234,9 +241,8 @@ def import_charges(
 ) -> ChargeImport:
     """New charges with their lines; a unit that already has the month is left alone."""
     amounts, rejects = monthly_amounts(raw, groups, year)
-    shares = allocate(amounts, units, accessories)
-    positive, empty = quality.split_valid(shares, {"total no positivo": _total(shares) > 0})
-    fresh = upsert.new_rows(charges, positive, ["idUF", "periodo"])
+    shares = allocate(amounts, units, accessories, charges)
+    fresh, empty = quality.split_valid(shares, {"total no positivo": _total(shares) > 0})
     rows = fresh.select(
         keys.charge_id(F.col("idUF"), F.col("periodo")).alias("id"),
         "idUF",
