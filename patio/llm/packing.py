@@ -8,7 +8,8 @@ close early.
 
 Pieces are dealt to groups of about GROUP_PIECES by hash; each group is packed by itself.
 What a group leaves in open sequences is dealt again with the open sequences of other groups,
-as one block of that length, until one group is left or nothing is gained.
+as one block of that length, until one group is left or a round joins fewer than one block in
+LEAST_GAIN. The number of groups follows what is left, so that no group grows with the table.
 
 Defined cases: null text counts as empty; an empty document is the closing id 0 alone. Equal
 lengths are placed by doc_id, then piece. Repeated rows are packed each. A null doc_id is
@@ -32,6 +33,7 @@ from patio.llm.common import id_text, in_pieces, stored, utf8
 CAPACITY = 2048
 CLOSING = 0
 GROUP_PIECES = 50_000
+LEAST_GAIN = 100
 #: Bytes of text that are encoded together.
 BATCH_BYTES = 6 << 20
 
@@ -135,7 +137,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     short = made.where(F.col("length") < CAPACITY)
     blocks = short.select(F.col("id").alias("block"), "length")
     held = short.select("id", F.col("id").alias("block"), F.lit(0).cast("long").alias("at"))
-    groups = max(1, -(-blocks.count() // GROUP_PIECES))
+    left = blocks.count()
+    groups = max(1, -(-left // GROUP_PIECES))
     turn = 0
     while True:
         dealt = blocks.withColumn("group", F.pmod(F.xxhash64("block", F.lit(turn)), F.lit(groups)))
@@ -150,13 +153,14 @@ def pack(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         )
         if groups == 1:
             break
-        blocks = stored(lead.where(F.col("length") < CAPACITY).select(F.col("lead").alias("block"), "length"))
-        left = blocks.count()
-        turn += 1
-        fewer = max(1, -(-left // GROUP_PIECES))
-        groups = fewer if fewer < groups else max(1, groups // 2)
-        if not left:
+        lead = stored(lead)
+        joined = left - lead.count()
+        blocks = lead.where(F.col("length") < CAPACITY).select(F.col("lead").alias("block"), "length")
+        gained, left = joined * LEAST_GAIN >= left, blocks.count()
+        if not left or not gained:
             break
+        turn += 1
+        groups = max(1, -(-left // GROUP_PIECES))
     full = made.where(F.col("length") == CAPACITY).withColumns({"sequence_id": F.col("id"), "offset": F.lit(0).cast("long")})
     placed = held.select("id", F.col("block").alias("sequence_id"), F.col("at").alias("offset"))
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
