@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patio.functions.keys import match_key
+from patio.session import materialize
 
 
 def time_bucket(df: DataFrame, time: str) -> Column:
@@ -35,7 +36,8 @@ def asof_before(
     points = left.select(by, time).distinct()
     picked = [F.max_by(F.col(v), F.struct(*[F.col(x) for x in values])).alias(v) for v in values]
     steps = right.groupBy(by, time).agg(*picked)
-    tagged = (
+    # Stored, because the buckets and the rows inside them both read it.
+    tagged = materialize(
         points.select(by, time, F.lit(0).alias("_side"), *[F.lit(None).cast(steps.schema[v].dataType).alias(v) for v in values])
         .unionByName(steps.select(by, time, F.lit(1).alias("_side"), *values))
         .withColumn("_lapso", span)
