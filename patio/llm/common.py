@@ -42,6 +42,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def id_text(docs: DataFrame) -> DataFrame:
     """The two columns that operators read, whatever else the input carries; null text is empty."""
+    shipped(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
