@@ -14,14 +14,7 @@ two shared patterns differ count against every pair below, so pairs of groups be
 are cut off whole; pairs of groups that cannot differ in more than the limit are linked whole,
 without listing their members. A task emits a spanning forest of its links, not the pairs.
 
-keep_one drops near copies, which are told by whole texts: Jaccard index of LIKE or more over the
-sets of WORDS-word shingles. 0.8 leaves 5 to 10 bits between fingerprints, and no block of 16 bits
-need agree there, so texts meet by BANDS keys of DRAWN smallest shingle hashes each (a pair at 0.8
-meets with 99.9 %). Within a key the smallest id is compared with all others and, in the Gray
-order of the fingerprint turned by other bits in each band, each row with its NEXT neighbours, if
-they are within WIDE_BITS; so work grows with the rows, whatever the size of a group. Pairs are
-verified on all shingles, and components are what verified links reach. Texts without any words
-are near copies of each other.
+keep_one drops near copies by these components: the document with the smallest id of each stays.
 
 Defined cases: null text counts as empty; a text without words has fingerprint zero and is
 linked like any other. Rows with null doc_id get a fingerprint but take no part in links, their
@@ -37,8 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patio.llm.common import columns_of, id_text, marked, stored, stored_table, utf8
-from patio.llm.suffix_anchors import mixed
+from patio.llm.common import id_text, stored, utf8
 
 MAX_BITS = 3
 SHINGLE = 3
@@ -47,15 +39,6 @@ FANOUT = 8
 HOT_ROWS = 20_000
 #: Node pairs that are looked at together.
 FRONTIER = 1 << 18
-#: Near copies: words of a shingle, least Jaccard index, bits that their fingerprints may differ in.
-WORDS = 5
-LIKE = 0.8
-WIDE_BITS = 24
-#: Keys of a text, smallest hashes in each, neighbours that each row is compared with.
-BANDS = 24
-DRAWN = 6
-NEXT = 2
-_DRAWS = np.random.default_rng(10).integers(1, 1 << 63, BANDS * DRAWN, dtype=np.uint64) | np.uint64(1)
 
 
 def fingerprint(raw: bytes) -> int:
@@ -283,129 +266,13 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
 
 
-def shingle_set(raw: bytes) -> np.ndarray:
-    """Distinct hashes of all stretches of WORDS words, in order; of the whole where it is shorter."""
-    words = raw.lower().split()
-    line = b" ".join(words)
-    digest = xxhash.xxh64_intdigest
-    if len(words) <= WORDS:
-        return np.array([digest(line, SEED)], np.uint64)
-    ends = np.cumsum([len(w) + 1 for w in words])
-    starts = np.concatenate(([0], ends[:-1])).tolist()
-    return np.unique(np.array([digest(line[a:b], SEED) for a, b in zip(starts, (ends[WORDS - 1 :] - 1).tolist(), strict=False)], np.uint64))
-
-
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """A key for each band, from the smallest of DRAWN hashes over the set."""
-    least = np.full(BANDS * DRAWN, ~np.uint64(0))
-    for k in range(0, len(shingles), 4096):
-        least = np.minimum(least, (_DRAWS[:, None] * shingles[None, k : k + 4096]).min(axis=1))
-    drawn = mixed(least).reshape(BANDS, DRAWN) * _DRAWS[:DRAWN]
-    return mixed(drawn.sum(axis=1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-
-
-def _signed(batches):
-    for batch in batches:
-        data, at = utf8(batch.column("text"))
-        raw = data.tobytes()
-        texts = [raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        same, fp, keys = [], [], []
-        for text in texts:
-            shingles = shingle_set(text)
-            same.append(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).astype(np.int64))
-            fp.append(fingerprint(text))
-            keys.append(band_keys(shingles))
-        edge = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS)
-        arrays = [pa.array(same, pa.int64()), pa.array(fp, pa.int64()), pa.ListArray.from_arrays(edge, pa.array(np.concatenate(keys) if keys else [], pa.int64()))]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("s"), *arrays], names=["doc_id", "s", "same", "fp", "keys"])
-
-
-def _banded(batches):
-    """A row for each band: key, Gray rank of the fingerprint turned by another number of bits in each."""
-    turn = np.arange(BANDS, dtype=np.uint64) * np.uint64(64) // np.uint64(BANDS)
-    for batch in batches:
-        keys = batch.column("keys").flatten()
-        fp = np.repeat(batch.column("fp").to_numpy().view(np.uint64), BANDS)
-        t = np.tile(turn, batch.num_rows)
-        turned = (fp << t) | (fp >> ((np.uint64(64) - t) % np.uint64(64)))
-        arrays = [keys, pa.array(gray_rank(turned).view(np.int64)), pa.array(fp.view(np.int64)), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["key", "gray", "fp", "node"])
-
-
-def _neighbours(batches):
-    """Pairs (a, b) of rows of one key that stand next to each other within WIDE_BITS."""
-    x = columns_of(batches)
-    if not x:
-        return
-    for k in range(1, NEXT + 1):
-        bits = np.bitwise_count(x["fp"][k:].view(np.uint64) ^ x["fp"][:-k].view(np.uint64))
-        near = (x["key"][k:] == x["key"][:-k]) & (bits <= WIDE_BITS)
-        one, other = x["node"][k:][near], x["node"][:-k][near]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, other)), pa.array(np.maximum(one, other))], names=["a", "b"])
-
-
-def _sets(batches):
-    for batch in batches:
-        sets = [shingle_set(text.encode()).view(np.int64) for text in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
-
-
-def candidates(points: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of nodes of points (node, fp, keys) that may be near copies."""
-    rows = stored_table(points.select("node", "fp", "keys").mapInArrow(_banded, "key long, gray long, fp long, node long"))
-    heads = rows.groupBy("key").agg(F.min(F.struct("node", "fp")).alias("head"), F.count(F.lit(1)).alias("n"))
-    heads = stored(heads.where("n > 1").select("key", F.col("head.node").alias("a"), F.col("head.fp").alias("head_fp")))
-    met = stored_table(rows.join(heads, "key"))
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("head_fp"))) <= WIDE_BITS
-    first = met.where((F.col("node") > F.col("a")) & near).select("a", F.col("node").alias("b"))
-    order = ("key", "gray", "node")
-    sorted_rows = met.select(*order, "fp").repartitionByRange(*order).sortWithinPartitions(*order)
-    return stored(first.unionByName(sorted_rows.mapInArrow(_neighbours, "a long, b long")).distinct())
-
-
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets have a Jaccard index of LIKE or more."""
-    of_a, of_b = (sets.select(F.col("node").alias(n), F.col("shingles").alias(f"of_{n}")) for n in ("a", "b"))
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    held = pairs.join(of_b, "b").join(of_a, "a")
-    return held.where(both >= LIKE * (F.size("of_a") + F.size("of_b") - both)).select("a", "b")
-
-
-def near_copies(docs: DataFrame) -> DataFrame:
-    """doc_id and component_id of every row with a doc_id: links are near copies by whole texts."""
-    rows = id_text(docs).where("doc_id is not null").withColumn("s", F.xxhash64("text"))
-    made = stored_table(rows.mapInArrow(_signed, "doc_id long, s long, same long, fp long, keys array<long>"))
-    one = made.groupBy("same").agg(F.min(F.struct("doc_id", "s", "fp", "keys")).alias("one"))
-    points = stored_table(one.select("same", F.col("one.doc_id").alias("node"), "one.s", "one.fp", "one.keys"))
-    # Ids with several texts tie these together; their nodes may stand for several sets.
-    several = made.groupBy("doc_id").agg(F.min("same").alias("low"), F.max("same").alias("high")).where("low != high")
-    ties = made.join(several.select("doc_id"), "doc_id").join(points, "same").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    ties = stored(ties.where("a != b"))
-    pairs = candidates(points)
-    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    asked = stored(points.select("node", "s").join(ids, "node"))
-    texts = marked(rows, asked.select("s")).where("maybe").select(F.col("doc_id").alias("node"), "s", "text")
-    texts = texts.join(asked, ["node", "s"]).groupBy("node", "s").agg(F.first("text").alias("text"))
-    sets = stored_table(texts.select("node", "text").mapInArrow(_sets, "node long, shingles array<long>"))
-    # One pair of each node first: in large groups it leaves few others to be looked at.
-    links = stored(_alike(pairs.groupBy("b").agg(F.min("a").alias("a")), sets).unionByName(ties))
-    roots = components(links)
-    root_a, root_b = (roots.select(F.col("node").alias(n), F.col("root").alias(f"root_{n}")) for n in ("a", "b"))
-    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-    open_pairs = stored(pairs.join(root_a, "a", "left").join(root_b, "b", "left").where(apart).select("a", "b"))
-    more = stored(_alike(open_pairs, sets))
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
-    named = points.join(roots, "node", "left").select("same", F.coalesce("root", "node").alias("component_id"))
-    return made.select("doc_id", "same").join(named, "same").select("doc_id", "component_id")
-
-
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs whose doc_id is the smallest of its group of near copies; columns as in docs.
 
     Rows with null doc_id stay. Of rows repeated with one doc_id, the one with the smallest text stays.
     """
-    stays = near_copies(docs).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"))
+    heads = near_groups(docs).where("doc_id = component_id")
+    stays = stored(heads.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies")))
     # Rows travel as one column, so that no name of theirs can clash.
     keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
     joined = keyed.join(stays, "doc_id")
