@@ -1,6 +1,7 @@
 """Readers, stored tables, streams and encrypted columns."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from patio.functions import dates, privacy
 from patio.operators import dedup, identity
 from patio.plans.linking import newly_linked
 from patio.sources import delimited, holidays, sheets
-from patio.sources.charges_json import read_charges
+from patio.sources.charges_json import array_records, read_charges
 from patio.sources.tables import TableStore
 from patio.streaming import jobs
 
@@ -48,6 +49,33 @@ def test_json_array_ignores_unknown_keys(spark, tmp_path):
     assert read_charges(spark, str(tmp_path / "l.json"), one_record_per_line=True).count() == 2
 
 
+@pytest.mark.parametrize("indent", [None, 2])
+def test_array_files_read_alike_in_many_splits(spark, tmp_path, indent):
+    """Records cut by splits, braces and quotes inside of strings, nested objects, one object, no object."""
+    odd = ['a}{b', '"}', '\\', '}\\"{', '', 'ñ}', '[{"x": 1}]', '\\"']
+    files = {
+        "many": [{"_id": {"$oid": {"k": k}}, "Mes": odd[k % len(odd)] * (k % 3), "n": k} for k in range(300)],
+        "long": [{"Mes": "}{" * 4000, "n": 1}, {}, {"Mes": 'x"' * 3000, "n": 2}],
+        "none": [],
+    }
+    for name, rows in files.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(rows, indent=indent, ensure_ascii=False))
+    (tmp_path / "one.json").write_text(json.dumps({"Mes": "solo", "n": {"m": 3}}))
+    expected = sorted(json.dumps(r, sort_keys=True) for r in [*sum(files.values(), []), {"Mes": "solo", "n": {"m": 3}}])
+    settings = {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        records = array_records(spark, str(tmp_path))
+        got = sorted(json.dumps(json.loads(r.record), sort_keys=True) for r in records.collect())
+        assert spark.read.option("lineSep", "}").text(str(tmp_path)).rdd.getNumPartitions() > 20
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == expected
+
+
 def test_sheet_range_follows_the_row_number(spark, tmp_path):
     folder = tmp_path / "sheet"
     folder.mkdir()
