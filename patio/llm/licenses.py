@@ -4,20 +4,21 @@ A text is brought to a canonical form: lower case, copyright lines dropped, ever
 letters and digits one blank, equivalent spellings made equal. The SHA-256 of the whole
 canonical text is looked up among the digests of known licence texts with a hash join; each
 line that speaks of a licence is looked up whole among the digests of known notices. Only
-DataFrame functions are used. The known digests are broadcast: they come from a fixed list, not
-from the data, and their number is that of the list.
+DataFrame functions are used. The shipped list is fixed, so its digests are broadcast. A caller's
+list is broadcast up to BROADCAST_TEXTS digests, which are counted; a longer one is hash-joined.
 
-Defined cases: null text counts as empty. A text whose canonical form is empty has the digest of
+Defined cases: null text counts as empty. Known texts that are null or empty in canonical form name
+nothing; of licences with equal texts the smallest id is given. A text whose canonical form is empty has the digest of
 the empty text and no licence. Repeated rows get a row each; ids and texts may be null. Other
 columns, whatever their names, are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patio.llm.common import id_text
+from patio.llm.common import id_text, stored
 from patio.llm.licence_texts import NOTICES, SPELLINGS, TEXTS
 
 #: Lines end at a line feed only (d), in the other engine too.
@@ -25,6 +26,8 @@ COPYRIGHT_LINE = r"(?imd)^[\x20\x09]*(?:copyright[\x20\x09]|\(c\)|©)[^\n]*$"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 #: Every known notice holds this after lower case and spelling, so other lines need no digest.
 NOTICE_MARK = r"(?i)licen[sc]"
+#: A digest and an id take about 100 bytes.
+BROADCAST_TEXTS = 100_000
 
 
 def canonical(text: Column) -> Column:
@@ -39,20 +42,25 @@ def digest(text: Column) -> Column:
     return F.sha2(F.encode(canonical(text), "UTF-8"), 256)
 
 
-def known(spark: SparkSession, texts) -> DataFrame:
-    """licence and digest of a list of (id, text); one row a digest."""
-    frame = spark.createDataFrame(list(texts), "licence string, text string")
-    return frame.select(digest(F.col("text")).alias("digest"), "licence").groupBy("digest").agg(F.min("licence").alias("licence"))
+def known(texts: DataFrame) -> DataFrame:
+    """licence and digest of a table (licence, text); one row a digest."""
+    named = texts.select("licence", F.col("text").cast("string").alias("text")).where(canonical(F.col("text")) != "")
+    return named.select(digest(F.col("text")).alias("digest"), "licence").groupBy("digest").agg(F.min("licence").alias("licence"))
 
 
-def license_scan(docs: DataFrame) -> DataFrame:
+def license_scan(docs: DataFrame, known_texts: DataFrame | None = None) -> DataFrame:
     """doc_id, text_sha256 (of the canonical text), licence, notices, n_notices of every row.
 
     `licence` is the licence that the whole text is, or null. `notices` lists the licences named
     by whole lines, each once, in order, joined by commas (empty if none); `n_notices` counts the
-    lines.
+    lines. `known_texts` (licence, text) takes the place of the shipped whole texts.
     """
-    texts = known(docs.sparkSession, TEXTS)
+    if known_texts is None:
+        texts = F.broadcast(known(docs.sparkSession.createDataFrame(list(TEXTS), "licence string, text string")))
+    else:
+        texts = stored(known(known_texts))
+        if texts.count() <= BROADCAST_TEXTS:
+            texts = F.broadcast(texts)
     # The list of known notices folds to one literal map, so lines are looked up in place: no row
     # is exploded, and a document that repeats a notice costs no shuffle.
     notices = F.create_map(*[part for name, text in NOTICES for part in (digest(F.lit(text)), F.lit(name))])
@@ -63,7 +71,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     )
     found = F.transform("lines", lambda line: F.try_element_at(notices, digest(line)))
     return (
-        rows.join(F.broadcast(texts), F.col("text_sha256") == F.col("digest"), "left")
+        rows.join(texts, F.col("text_sha256") == F.col("digest"), "left")
         .withColumn("named", F.filter(found, lambda x: x.isNotNull()))
         .select(
             "doc_id",

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 
 import __spark_entry__ as driver
@@ -128,6 +129,19 @@ def test_licences(docs, odd_docs, no_docs):
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)
 
 
+@pytest.mark.parametrize("most", [0, 100])
+def test_licences_of_the_caller(spark, docs, odd_docs, monkeypatch, most):
+    """A list of the caller's, broadcast or hash-joined: long texts, equal texts, null and empty ones."""
+    monkeypatch.setattr(licenses, "BROADCAST_TEXTS", most)
+    long = "You may share this licence.\n" + "Clause by clause it grants little. " * 20_000
+    rows = [("Own-2", long), ("Own-1", long.replace("licence", "license")), ("Nil", None), ("Nil", " .. "), ("Own-3", "Do as you like")]
+    listed = spark.createDataFrame(rows, "licence string, text string")
+    found = licenses.license_scan(docs(long.upper(), "do AS you like!", licence_texts.MIT, None, "", long + "more"), listed)
+    assert [r.licence for r in found.orderBy("doc_id").collect()] == ["Own-1", "Own-3", None, None, None, None]
+    assert ("strategy=broadcast" in found._jdf.queryExecution().analyzed().toString()) == (most > 0)
+    assert licenses.license_scan(odd_docs, listed.limit(0)).where("licence is null").count() == odd_docs.count()
+
+
 def brute_removed(texts):
     raw = [(t or "").encode() for t in texts]
     count = Counter(b[i : i + 400] for b in raw for i in range(len(b) - 399))
