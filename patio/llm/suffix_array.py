@@ -9,7 +9,9 @@ missing ends a string. As in the difference cover modulo three:
    length (places 1 and 2 apart), and their suffixes are sorted by recursion.
 3. The suffixes at places 0 modulo 3 are ordered by (letter, rank of the next place) and merged:
    among those at 1 by (letter, rank), among those at 2 by (letter, letter, rank). The merge is
-   dealt by ranks of sampled suffixes at places 1, so all parts are even, whatever repeats.
+   dealt by sampled suffixes at places 1; equal ranks are dealt by string and place, so parts are
+   even, whatever repeats. At most TOP_PARTS * SAMPLED samples reach the driver; where there are
+   more parts, each of these parts is cut once more by the samples in it, in a task of its own.
 
 Ranks order all suffixes up to REACH bytes; equal ones stand together in any order. The merge
 compares each suffix with its neighbours.
@@ -30,6 +32,12 @@ REACH = 400
 SAMPLED = 32
 #: Suffixes in one part of a merge, on average.
 PART_ROWS = 60_000
+#: Parts that the driver's sample cuts, at most.
+TOP_PARTS = 4096
+#: Parts of one of these, below.
+SUB_BITS = 18
+#: Tasks of a merge, at most; a task takes one part after another.
+MERGE_TASKS = 16_384
 
 #: String, recursion part, place, letter, byte place, bytes of the letter; the rest is carried.
 STRING = ("s", "r", "i", "a", "p", "cover", "lo", "hi", "kr", "f")
@@ -137,13 +145,25 @@ def _strictly_below(rows: list[np.ndarray], others: list[np.ndarray]) -> np.ndar
     return out[: len(rows[0])]
 
 
+def _by_part(batches):
+    """The rows of each part of batches that are sorted by part."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        part = batch.column("part").to_numpy()
+        edges = np.concatenate(([0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]))
+        for first, end in zip(edges[:-1], edges[1:], strict=True):
+            if held and end > first and held[0].column("part")[0].as_py() != part[first]:
+                yield columns_of(iter(held))
+                held = []
+            if end > first:
+                held.append(batch.slice(first, end - first))
+    if held:
+        yield columns_of(iter(held))
+
+
 def _merge(batches):
-    x = columns_of(batches)
-    if not x:
-        return
-    for part in np.unique(x["part"]):
-        own = x["part"] == part
-        y = {k: v[own] for k, v in x.items()}
+    for y in _by_part(batches):
+        part = y["part"][0]
         kind = y["i"] % 3
         zero, first, second = (np.flatnonzero(kind == k) for k in range(3))
         sample = np.concatenate((first, second))
@@ -175,26 +195,76 @@ def _merge(batches):
 _MERGED = "s long, r int, i int, p int, lo int, hi int, kr long, f long, rank long, shared int"
 
 
+_CUT = ("r0", "a", "r1", "s", "r", "i")
+
+
+def _parts(x: dict[str, np.ndarray], cuts: dict[str, np.ndarray]) -> np.ndarray:
+    """How many of the cuts, which are suffixes at places 1 modulo 3, are not above each suffix."""
+    out = np.empty(len(x["r0"]), np.int64)
+    zero = x["r0"] == 0
+    for rows, keys in ((zero, ("a", "r1")), (~zero, ("r0",))):
+        names = (*keys, "s", "r", "i")
+        out[rows] = _below([x[n][rows] for n in names], [cuts[n] for n in names])
+    return out
+
+
+def _cuts(x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Every SAMPLED-th of sampled suffixes, in order."""
+    order = np.lexsort((x["i"], x["r"], x["s"], x["r0"]))[SAMPLED // 2 :: SAMPLED]
+    return {n: x[n][order] for n in _CUT}
+
+
+def _cut_again(batches):
+    """Cuts each part by the samples that stand before its rows."""
+    part, cuts, held = -1, None, []
+
+    def arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        return {n: batch.column(n).to_numpy() for n in _CUT}
+
+    for batch in batches:
+        own = batch.column("part").to_numpy()
+        row = ~batch.column("sample").to_numpy(zero_copy_only=False)
+        edges = np.concatenate(([0], np.flatnonzero((own[1:] != own[:-1]) | (row[1:] != row[:-1])) + 1, [len(own)]))
+        for first, end in zip(edges[:-1], edges[1:], strict=True):
+            if end == first:
+                continue
+            if own[first] != part:
+                part, cuts, held = own[first], None, []
+            piece = batch.slice(first, end - first)
+            if not row[first]:
+                held.append(arrays(piece))
+                continue
+            if cuts is None:
+                empty = {n: np.zeros(0, np.int64) for n in _CUT}
+                cuts = _cuts({n: np.concatenate([h[n] for h in (held or [empty])]) for n in _CUT})
+            finer = (int(part) << SUB_BITS) + _parts(arrays(piece), cuts)
+            out = {n: piece.column(n) for n in piece.schema.names if n not in ("part", "sample")}
+            yield pa.RecordBatch.from_arrays([*out.values(), pa.array(finer.astype(np.int32))], names=[*out, "part"])
+
+
 def _dealt(rows: DataFrame, count: int) -> DataFrame:
-    """Adds `part`, by sampled suffixes at places 1 modulo 3; their number is that of the parts."""
+    """Adds `part` by sampled suffixes at places 1 modulo 3, about PART_ROWS rows each, and sorts by it."""
     parts = max(1, -(-count // PART_ROWS))
+    top = min(parts, TOP_PARTS)
+    # The samples follow the rows, whatever their ranks.
+    draw = F.pmod(F.xxhash64("s", "r", "i"), F.lit(max(1, count // (3 * top * SAMPLED))))
     one = rows.where("i % 3 = 1")
-    share = max(1, count // (3 * parts * SAMPLED))
-    picked = one.where(F.pmod(F.xxhash64("s", "r", "i"), F.lit(share)) == 0).select("r0", "a", "r1").collect() if parts > 1 else []
-    picked = sorted(picked, key=lambda row: row["r0"])[SAMPLED // 2 :: SAMPLED]
-    rank = np.array([row["r0"] for row in picked], np.int64)
-    a, r1 = (np.array([row[k] for row in picked], np.int64) for k in ("a", "r1"))
+    picked = one.where(draw == 0).select(*_CUT).collect() if parts > 1 else []
+    cuts = _cuts({n: np.array([row[n] for row in picked], np.int64) for n in _CUT})
 
     def deal(batches):
         for batch in batches:
-            x = {n: batch.column(n).to_numpy() for n in ("a", "r0", "r1")}
-            part = np.searchsorted(rank, x["r0"], side="right")
-            zero = np.flatnonzero(x["r0"] == 0)
-            part[zero] = _below([x["a"][zero], x["r1"][zero]], [a, r1])
+            part = _parts({n: batch.column(n).to_numpy() for n in _CUT}, cuts)
             yield batch.append_column("part", pa.array(part.astype(np.int32)))
 
     dealt = rows.mapInArrow(deal, f"{_STITCHED}, part int")
-    return dealt.repartition(len(picked) + 1, "part")
+    if parts > top:
+        finer = F.pmod(F.xxhash64("s", "r", "i", F.lit(1)), F.lit(max(1, count // (3 * parts * SAMPLED))))
+        samples = dealt.where("i % 3 = 1").where(finer == 0).withColumn("sample", F.lit(True))
+        both = dealt.withColumn("sample", F.lit(False)).unionByName(samples)
+        both = both.repartition(top, "part").sortWithinPartitions("part", F.col("sample").desc())
+        dealt = both.mapInArrow(_cut_again, f"{_STITCHED}, part int")
+    return dealt.repartition(min(parts, MERGE_TASKS), "part").sortWithinPartitions("part")
 
 
 def sort_suffixes(strings: DataFrame) -> DataFrame:

@@ -13,8 +13,12 @@ document or in the same one, is removed.
    one key differ, the stretches of one document for each kind of surroundings are compared.
 
 Equal texts are one text in all steps; a text of LONG bytes or more that occurs twice is removed
-whole. Texts are known by a 64-bit hash in steps 1 to 3. Texts are shuffled only where something
-may be removed: a bitmap of BITS bits, whatever the size of the data, tells most others.
+whole. Texts are known by a 64-bit hash in steps 1 to 3; hashes that two texts share, as their
+SHA-256 digests tell, are replaced. Texts are shuffled only where something may be removed: a
+bitmap of BITS bits, whatever the size of the data, tells most others.
+
+A key with more than CROWDED kinds of surroundings does not meet in one task: its stretches are
+counted as rows of their own, combined before the shuffle.
 
 Defined cases: null text counts as empty; texts shorter than LONG are kept. Repeated rows count
 as different documents with equal texts. Null ids are carried. Other columns are not read. An
@@ -24,10 +28,11 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patio.llm.common import BITS, columns_of, id_text, in_pieces, marked, stored, stored_table, utf8
@@ -37,6 +42,8 @@ from patio.llm.words import spans as ranges
 
 #: Bytes of text that are hashed together.
 BATCH_BYTES = 1 << 20
+#: Kinds of surroundings of one key that one task compares, at most.
+CROWDED = 4096
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -55,17 +62,27 @@ def anchor_rows(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_anchored, "s long, i int, p int, cover int, lo int, hi int, a long, kr long, f long")
 
 
-def _windows(batches):
-    """For asked anchors of each text: hashes of all their stretches."""
+def _codes(batches):
+    """For asked anchors of each text: their columns, and size and hashes of all their stretches."""
     for batch in in_pieces(batches, BATCH_BYTES):
         data, at = utf8(batch.column("text"))
         asked = batch.column("asked")
         edge = asked.offsets.to_numpy().astype(np.int64)
-        x = {n: asked.values.field(n).to_numpy()[edge[0] : edge[-1]] for n in ("kr", "f", "p", "lo", "hi")}
+        x = {n: asked.values.field(n).to_numpy()[edge[0] : edge[-1]] for n in ("kr", "f", "p", "lo", "hi", "n")}
         base = np.repeat(at[:-1], np.diff(edge))
         size = (x["hi"] - x["lo"] + 1).astype(np.int64)
         start = ranges(base + x["lo"], size)
-        code = Hasher(data, 1)(start, start + LONG)
+        yield x, size, Hasher(data, 1)(start, start + LONG)
+
+
+def _meeting(kr: np.ndarray, distance: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """A stretch meets its repeats under one key and at one distance from the anchor."""
+    return mixed(code ^ mixed(kr.view(np.uint64) + distance.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+
+
+def _windows(batches):
+    """One row for each asked anchor, with the hashes end to end."""
+    for x, size, code in _codes(batches):
         ends = np.concatenate(([0], np.cumsum(size))) * 8
         blob = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(size), [None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(code.tobytes())]
@@ -75,6 +92,17 @@ def _windows(batches):
         )
 
 
+def _stretches(batches):
+    """One row for each stretch of asked anchors."""
+    for x, size, code in _codes(batches):
+        offset = ranges(np.zeros(len(size), np.int64), size)
+        owner = np.repeat(np.arange(len(size)), size)
+        kr = x["kr"][owner]
+        key = _meeting(kr, (x["p"] - x["lo"])[owner] - offset, code).view(np.int64)
+        arrays = (kr, x["f"][owner], offset.astype(np.int32), key, x["n"][owner] > 1)
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in arrays], names=["kr", "f", "x", "key", "whole"])
+
+
 def _repeated(batches):
     """Stretches that stand in two kinds of surroundings, or twice in one: runs (x to y) for each."""
     table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
@@ -88,9 +116,7 @@ def _repeated(batches):
     code = np.frombuffer(b"".join(blobs), np.uint64)
     offset = ranges(np.zeros(len(size), np.int64), size)
     owner = np.repeat(np.arange(len(size)), size)
-    # A stretch meets its repeats under one key and at one distance from the anchor.
-    distance = first[once][owner] - offset
-    key = mixed(code ^ mixed(kr[once][owner].view(np.uint64) + distance.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    key = _meeting(kr[once][owner], first[once][owner] - offset, code)
     order = np.argsort(key, kind="stable")
     same = key[order][1:] == key[order][:-1]
     hit = np.zeros(len(key), bool)
@@ -148,13 +174,58 @@ def _removed(batches):
         yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """Byte intervals to remove, by text: s, starts, ends (apart from each other, in order)."""
-    rows = id_text(docs).select(F.xxhash64("text").alias("s"), "text", F.octet_length("text").alias("n"))
+def _name(text: Column, turn: int) -> Column:
+    return F.xxhash64(text, F.lit(turn)) if turn else F.xxhash64(text)
+
+
+def named_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text, n, s), where s is one number for each text of LONG bytes or more, and
+    the distinct texts of that length (s, n, k rows)."""
+    rows = id_text(docs).withColumn("n", F.octet_length("text")).withColumn("s", _name(F.col("text"), 0))
+    for turn in count(1):
+        digest = F.unhex(F.sha2(F.encode("text", "UTF-8"), 256))
+        long = rows.where(F.col("n") >= LONG).select("s", "n", digest.alias("d"))
+        texts = stored_table(long.groupBy("d").agg(F.count(F.lit(1)).alias("k"), F.min("s").alias("s"), F.min("n").alias("n")).drop("d"))
+        clashes = stored(texts.groupBy("s").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("s"))
+        if clashes.isEmpty():
+            return rows, texts
+        rows = marked(rows, clashes).withColumn("s", F.when(F.col("maybe"), _name(F.col("text"), turn)).otherwise(F.col("s"))).drop("maybe")
+
+
+def _runs(long: DataFrame, kinds: DataFrame) -> DataFrame:
+    """Stretches (kr, f, x to y) that stand in several kinds of surroundings of one key."""
+    several = stored_table(
+        kinds.groupBy("kr").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("kr", (F.col("k") > CROWDED).alias("crowded"))
+    )
+
+    def texts(keys: DataFrame) -> DataFrame:
+        each = F.struct("kr", "f", "one.p", "one.lo", "one.hi", "n")
+        asked = kinds.join(keys.select("kr"), "kr", "left_semi").groupBy("one.s").agg(F.collect_list(each).alias("asked"))
+        once = marked(long.select("s", "text"), asked.select("s")).where("maybe").dropDuplicates(["s"])
+        return once.join(asked, "s").select("text", "asked")
+
+    few = texts(several.where("not crowded")).mapInArrow(_windows, "kr long, f long, first int, codes binary")
+    runs = few.repartition("kr").mapInArrow(_repeated, "kr long, f long, x int, y int")
+    crowded = several.where("crowded")
+    if crowded.isEmpty():
+        return runs
+    spread = stored_table(texts(crowded).mapInArrow(_stretches, "kr long, f long, x int, key long, whole boolean"))
+    low, high = F.min("f").alias("low"), F.max("f").alias("high")
+    twice = stored_table(spread.groupBy("kr", "key").agg(low, high).where("low != high").select("kr", "key"))
+    found = spread.where("not whole").join(twice, ["kr", "key"], "left_semi")
+    return runs.unionByName(found.select("kr", "f", "x", F.col("x").alias("y")))
+
+
+def repeated_spans(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Byte intervals to remove, by text: s, starts, ends (apart from each other, in order); of
+    the two results of named_texts."""
     long = rows.where(F.col("n") >= LONG)
     found = anchor_rows(long.select("s", "text"))
     place = F.xxhash64("s", "i")
-    shared = found.groupBy("kr").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high").select("kr")
+    # Stored, so that Spark may split the rows of one key in the join.
+    shared = stored_table(
+        found.groupBy("kr").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high").select("kr")
+    )
     strings = stored_table(
         found.join(shared, "kr", "left_semi").select("s", F.lit(0).alias("r"), "i", "a", "p", "cover", "lo", "hi", "kr", "f")
     )
@@ -162,39 +233,30 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     kinds = stored_table(
         near.groupBy("kr", "f").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("s", "p", "lo", "hi")).alias("one"))
     )
-    several = kinds.groupBy("kr").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("kr")
-    asked = (
-        kinds.join(several, "kr", "left_semi")
-        .groupBy("one.s")
-        .agg(F.collect_list(F.struct("kr", "f", "one.p", "one.lo", "one.hi")).alias("asked"))
-    )
-    texts = marked(long.select("s", "text"), asked.select("s")).where("maybe").join(asked, "s")
-    runs = texts.select("text", "asked").mapInArrow(_windows, "kr long, f long, first int, codes binary")
-    runs = runs.repartition("kr").mapInArrow(_repeated, "kr long, f long, x int, y int")
     # A kind of surroundings that occurs twice is repeated whole; else its runs are.
     whole = kinds.where("n > 1").select("kr", "f", F.lit(0).alias("x"), F.lit(None).cast("int").alias("y"))
-    marks = runs.unionByName(whole)
+    marks = _runs(long, kinds).unionByName(whole)
     inside = near.join(marks, ["kr", "f"]).select(
         "s", (F.col("lo") + F.col("x")).alias("x"), (F.coalesce(F.col("lo") + F.col("y"), F.col("hi")) + LONG).alias("y")
     )
     # What neighbours in the suffix array share over LONG bytes and more.
     sure = near.where(F.col("shared") >= LONG).select("s", F.col("p").alias("x"), (F.col("p") + F.col("shared")).alias("y"))
-    digest = F.sha2(F.encode("text", "UTF-8"), 256)
-    copies = long.select("s", "n", digest.alias("d")).groupBy("d").agg(F.count(F.lit(1)).alias("k"), F.min("s").alias("s"), F.min("n").alias("n"))
-    copied = copies.where("k > 1").select("s", F.lit(0).alias("x"), F.col("n").cast("int").alias("y"))
+    copied = texts.where("k > 1").select("s", F.lit(0).alias("x"), F.col("n").cast("int").alias("y"))
     every = inside.unionByName(sure).unionByName(copied)
     return stored(every.repartition("s").mapInArrow(_joined, "s long, starts array<long>, ends array<long>"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
-    spans = repeated_spans(docs)
-    rows = marked(id_text(docs).withColumn("s", F.xxhash64("text")), spans.select("s"))
-    touched = rows.where("maybe").drop("maybe").join(spans, "s", "left")
+    named, texts = named_texts(docs)
+    spans = repeated_spans(named, texts)
+    # A short text may have the number of a long one.
+    rows = marked(named, spans.select("s")).withColumn("maybe", F.col("maybe") & (F.col("n") >= LONG))
+    touched = rows.where("maybe").select("doc_id", "text", "s").join(spans, "s", "left")
     changed = touched.select("doc_id", "text", "starts", "ends").mapInArrow(_removed, RESULT)
     zero = F.lit(0).cast("long")
     same = rows.where("not maybe").select(
-        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
+        "doc_id", F.col("n").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
         F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"),
     )
     return changed.unionByName(same)

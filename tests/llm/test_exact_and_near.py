@@ -8,9 +8,10 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from patio.llm import exact_dedup, licence_texts, licenses, simhash, suffix_dedup
+from patio.llm import exact_dedup, licence_texts, licenses, simhash, suffix_array, suffix_dedup
 from patio.llm.common import documents
 from tests.compare import connect, difference
 
@@ -159,7 +160,13 @@ def brute_removed(texts):
     return out
 
 
-def test_repeats_brute(docs):
+@pytest.mark.parametrize("case", ["as shipped", "crowded keys", "clashing numbers"])
+def test_repeats_brute(docs, monkeypatch, case):
+    if case == "crowded keys":
+        monkeypatch.setattr(suffix_dedup, "CROWDED", 1)
+    if case == "clashing numbers":
+        name = suffix_dedup._name
+        monkeypatch.setattr(suffix_dedup, "_name", lambda text, turn: name(text, turn) if turn else F.length(text) % 2)
     a, b, c = prose(120, 1), prose(400, 2), prose(90, 3)
     texts = [
         a, a[:399], a[:400], a[5:300] + b, b[40:900] + c, prose(200, 9) + a[100:520] + "é" * 300, c + "é" * 500, "xy" * 450,
@@ -169,6 +176,38 @@ def test_repeats_brute(docs):
     assert [got[k] for k in range(len(texts))] == brute_removed(texts)
 
 
+@pytest.mark.parametrize(("rows", "top"), [(60_000, 4096), (96, 4096), (96, 3)])
+def test_suffixes_sorted_brute(spark, monkeypatch, rows, top):
+    """One part, parts cut on the driver, and parts cut once more: the same order."""
+    monkeypatch.setattr(suffix_array, "PART_ROWS", rows)
+    monkeypatch.setattr(suffix_array, "TOP_PARTS", top)
+    pick = random.Random(8)
+    strings = [[pick.randint(1, 3) for _ in range(pick.randint(1, 90))] for _ in range(40)]
+    strings += [strings[0]] * 8 + [[2] * 120, [1, 2] * 50] + [[pick.randint(1, 2), *strings[1]] for _ in range(6)]
+    letters = [(s, i, x) for s, string in enumerate(strings) for i, x in enumerate(string) if (s + i) % 41 != 40]
+    frame = spark.createDataFrame(letters, "s long, i int, a long")
+    zero, one = F.lit(0), F.lit(1)
+    frame = frame.select(
+        "s", zero.alias("r"), "i", "a", F.col("i").alias("p"), one.alias("cover"), zero.alias("lo"), zero.alias("hi"),
+        zero.cast("long").alias("kr"), zero.cast("long").alias("f"),
+    )
+    got = suffix_array.sort_suffixes(frame).select("s", "i", "rank").collect()
+    at = {(s, i): x for s, i, x in letters}
+
+    def suffix(s, i):
+        out = []
+        while (s, i) in at:
+            out.append(at[s, i])
+            i += 1
+        return out
+
+    assert len(got) == len({r.rank for r in got}) == len(letters)
+    order = [suffix(r.s, r.i) for r in sorted(got, key=lambda r: r.rank)]
+    assert order == sorted(order)
+    parts = {r.rank >> 32 for r in got}
+    assert len(parts) > 10 if rows == 96 else len(parts) == 1
+
+
 def test_repeats_deep_recursion(docs):
     """Many near copies with edits and short periods: names repeat over several rounds."""
     base = prose(250, 11)
