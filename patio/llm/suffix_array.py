@@ -9,9 +9,10 @@ missing ends a string. As in the difference cover modulo three:
    length (places 1 and 2 apart), and their suffixes are sorted by recursion.
 3. The suffixes at places 0 modulo 3 are ordered by (letter, rank of the next place) and merged:
    among those at 1 by (letter, rank), among those at 2 by (letter, letter, rank). The merge is
-   dealt by sampled suffixes at places 1; equal ranks are dealt by string and place, so parts are
-   even, whatever repeats. At most TOP_PARTS * SAMPLED samples reach the driver; where there are
-   more parts, each of these parts is cut once more by the samples in it, in a task of its own.
+   dealt by sampled suffixes of all places; equal ones are dealt by string and place, so parts are
+   even, whatever repeats and wherever it stands. About 3 * TOP_PARTS * SAMPLED samples reach the
+   driver at most; where more parts are needed, a task cuts each of these once more by the
+   samples in it.
 
 Ranks order all suffixes up to REACH bytes; equal ones stand together in any order. The merge
 compares each suffix with its neighbours.
@@ -30,10 +31,10 @@ from patio.llm.common import columns_of, stored, stored_table
 REACH = 400
 #: Sampled suffixes for each part of a merge.
 SAMPLED = 32
-#: Suffixes in one part of a merge, on average.
+#: Suffixes in one part of a merge, about, at most.
 PART_ROWS = 60_000
 #: Parts that the driver's sample cuts, at most.
-TOP_PARTS = 4096
+TOP_PARTS = 2048
 #: Parts of one of these, below.
 SUB_BITS = 18
 #: Tasks of a merge, at most; a task takes one part after another.
@@ -195,23 +196,33 @@ def _merge(batches):
 _MERGED = "s long, r int, i int, p int, lo int, hi int, kr long, f long, rank long, shared int"
 
 
-_CUT = ("r0", "a", "r1", "s", "r", "i")
+_CUT = ("r0", "a", "b", "r1", "r2", "s", "r", "i")
+#: What tells two suffixes apart that stand at these places modulo 3.
+_ORDER = {(0, 0): ("a", "r1"), (0, 1): ("a", "r1"), (0, 2): ("a", "b", "r2")}
 
 
 def _parts(x: dict[str, np.ndarray], cuts: dict[str, np.ndarray]) -> np.ndarray:
-    """How many of the cuts, which are suffixes at places 1 modulo 3, are not above each suffix."""
-    out = np.empty(len(x["r0"]), np.int64)
-    zero = x["r0"] == 0
-    for rows, keys in ((zero, ("a", "r1")), (~zero, ("r0",))):
-        names = (*keys, "s", "r", "i")
-        out[rows] = _below([x[n][rows] for n in names], [cuts[n] for n in names])
+    """How many of the cuts are not above each suffix."""
+    out = np.zeros(len(x["i"]), np.int64)
+    for kind in range(3):
+        rows = np.flatnonzero(x["i"] % 3 == kind)
+        for other in range(3):
+            own = np.flatnonzero(cuts["i"] % 3 == other)
+            if len(rows) and len(own):
+                names = (*_ORDER.get((min(kind, other), max(kind, other)), ("r0",)), "s", "r", "i")
+                out[rows] += _below([x[n][rows] for n in names], [cuts[n][own] for n in names])
     return out
 
 
 def _cuts(x: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Every SAMPLED-th of sampled suffixes, in order."""
-    order = np.lexsort((x["i"], x["r"], x["s"], x["r0"]))[SAMPLED // 2 :: SAMPLED]
-    return {n: x[n][order] for n in _CUT}
+    """Every SAMPLED-th of the sampled suffixes at each place modulo 3."""
+    picked = []
+    for kind in range(3):
+        own = np.flatnonzero(x["i"] % 3 == kind)
+        names = (*_ORDER.get((kind, kind), ("r0",)), "s", "r", "i")
+        picked.append(own[np.lexsort([x[n][own] for n in reversed(names)])][SAMPLED // 2 :: SAMPLED])
+    picked = np.concatenate(picked)
+    return {n: x[n][picked] for n in _CUT}
 
 
 def _cut_again(batches):
@@ -243,13 +254,16 @@ def _cut_again(batches):
 
 
 def _dealt(rows: DataFrame, count: int) -> DataFrame:
-    """Adds `part` by sampled suffixes at places 1 modulo 3, about PART_ROWS rows each, and sorts by it."""
+    """Adds `part` by sampled suffixes and sorts by it.
+
+    Each kind of place has cuts of its own, three times as many as parts are needed, so that a part
+    holds about PART_ROWS rows at most even where the cuts of all three kinds coincide.
+    """
     parts = max(1, -(-count // PART_ROWS))
     top = min(parts, TOP_PARTS)
     # The samples follow the rows, whatever their ranks.
     draw = F.pmod(F.xxhash64("s", "r", "i"), F.lit(max(1, count // (3 * top * SAMPLED))))
-    one = rows.where("i % 3 = 1")
-    picked = one.where(draw == 0).select(*_CUT).collect() if parts > 1 else []
+    picked = rows.where(draw == 0).select(*_CUT).collect() if parts > 1 else []
     cuts = _cuts({n: np.array([row[n] for row in picked], np.int64) for n in _CUT})
 
     def deal(batches):
@@ -260,11 +274,11 @@ def _dealt(rows: DataFrame, count: int) -> DataFrame:
     dealt = rows.mapInArrow(deal, f"{_STITCHED}, part int")
     if parts > top:
         finer = F.pmod(F.xxhash64("s", "r", "i", F.lit(1)), F.lit(max(1, count // (3 * parts * SAMPLED))))
-        samples = dealt.where("i % 3 = 1").where(finer == 0).withColumn("sample", F.lit(True))
+        samples = dealt.where(finer == 0).withColumn("sample", F.lit(True))
         both = dealt.withColumn("sample", F.lit(False)).unionByName(samples)
-        both = both.repartition(top, "part").sortWithinPartitions("part", F.col("sample").desc())
+        both = both.repartition(3 * top, "part").sortWithinPartitions("part", F.col("sample").desc())
         dealt = both.mapInArrow(_cut_again, f"{_STITCHED}, part int")
-    return dealt.repartition(min(parts, MERGE_TASKS), "part").sortWithinPartitions("part")
+    return dealt.repartition(min(3 * parts, MERGE_TASKS), "part").sortWithinPartitions("part")
 
 
 def sort_suffixes(strings: DataFrame) -> DataFrame:

@@ -183,7 +183,7 @@ def test_suffixes_sorted_brute(spark, monkeypatch, rows, top):
     monkeypatch.setattr(suffix_array, "TOP_PARTS", top)
     pick = random.Random(8)
     strings = [[pick.randint(1, 3) for _ in range(pick.randint(1, 90))] for _ in range(40)]
-    strings += [strings[0]] * 8 + [[2] * 120, [1, 2] * 50] + [[pick.randint(1, 2), *strings[1]] for _ in range(6)]
+    strings += [[3]] * 900 + [strings[0]] * 8 + [[2] * 120, [1, 2] * 50] + [[pick.randint(1, 2), *strings[1]] for _ in range(6)]
     letters = [(s, i, x) for s, string in enumerate(strings) for i, x in enumerate(string) if (s + i) % 41 != 40]
     frame = spark.createDataFrame(letters, "s long, i int, a long")
     zero, one = F.lit(0), F.lit(1)
@@ -204,8 +204,9 @@ def test_suffixes_sorted_brute(spark, monkeypatch, rows, top):
     assert len(got) == len({r.rank for r in got}) == len(letters)
     order = [suffix(r.s, r.i) for r in sorted(got, key=lambda r: r.rank)]
     assert order == sorted(order)
-    parts = {r.rank >> 32 for r in got}
+    parts = Counter(r.rank >> 32 for r in got)
     assert len(parts) > 10 if rows == 96 else len(parts) == 1
+    assert max(parts.values()) <= 3 * rows  # 900 equal suffixes, all at places 0, are spread
 
 
 def test_repeats_deep_recursion(docs):
