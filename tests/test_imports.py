@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -348,6 +349,46 @@ def test_charges(raw, groups, units, table, offers):
     assert (rest.total, rest.repartido, rest.detallado) == (Decimal("1233.34"), Decimal("1233.34"), Decimal("1400.01"))
 
 
+def _many_charges(spark, raw, groups, table):
+    """Three units, two months, seven providers of one concept; one unit has one month already."""
+    units = table("unidad", *[{"idUF": u, "idConsorcio": 1, "numeroUnidad": u, "m2_UF": 30 + u} for u in (1, 2, 3)])
+    providers = table("prestador", *[
+        {"id": None if p == 7 else p, "idConsorcio": 1, "nombre": f"p{p}", "tipoServicio": "Banco"} for p in range(1, 8)
+    ])
+    mapping = spark.createDataFrame([(schemas.CONCEPTS[0], "banco ", "ORDINARIO")], schemas.CONCEPT_MAP)
+    rows = raw(schemas.RAW_CHARGES, *[("Robledal", m, *amounts("1.000,00")) for m in ("Mayo", "Junio")])
+    known = table("expensa", {"id": 1, "idUF": 2, "periodo": "2025-05-01", "montoTotal": 5})
+    result = imports.import_charges(rows, groups, units, table("accesoria"), providers, mapping, known, 2025)
+    return result, providers, mapping
+
+
+def test_pairs_and_lines_are_made_last(spark, raw, groups, table):
+    details = _many_charges(spark, raw, groups, table)[0].details
+    plan = details._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    # Lines come from lists above the join with the offers; only units are dealt, not their months.
+    made = [line for line in plan if "Join " in line or "Generate " in line]
+    assert "explode(_prestadores" in made[0]
+    dealt = [line for line in plan if "RepartitionByExpression" in line]
+    assert dealt and not any("periodo" in line for line in dealt)
+
+
+@pytest.mark.parametrize("limit", ["MOST_MONTHS", "MOST_OFFERS", "OFFERS_A_LIST"])
+def test_lines_are_the_same_beyond_the_limits(spark, raw, groups, table, monkeypatch, limit):
+    monkeypatch.setattr(imports, limit, 2 if limit == "OFFERS_A_LIST" else 0)
+    result, providers, mapping = _many_charges(spark, raw, groups, table)
+    charged = {(r.idUF, r.periodo.month) for r in result.charges.collect()}
+    assert charged == {(1, 5), (3, 5), (1, 6), (2, 6), (3, 6)}
+    got = Counter((r.idExpensa, r.idPrestadorServicio, r.importe, r.tipo, r.categoria) for r in result.details.collect())
+    # Of 96 square metres.
+    share = {1: Decimal("322.92"), 2: Decimal("333.33"), 3: Decimal("343.75")}
+    assert got == Counter(
+        (u * 100_000 + 2025 * 12 + m - 1, p, share[u], "banco ", "ORDINARIO")
+        for u, m in charged for p in (1, 2, 3, 4, 5, 6, None)
+    )
+    lists = imports.offer_lists(providers, mapping)
+    assert lists.count() > 1 if limit == "OFFERS_A_LIST" else lists.count() == 1
+
+
 def test_shares_stay_near_the_building_total(spark, table, offers):
     providers, mapping = offers
     n = 61
