@@ -226,9 +226,9 @@ def repeated_spans(rows: DataFrame, texts: DataFrame) -> DataFrame:
     shared = stored_table(
         found.groupBy("kr").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low != high").select("kr")
     )
-    strings = stored_table(
-        found.join(shared, "kr", "left_semi").select("s", F.lit(0).alias("r"), "i", "a", "p", "cover", "lo", "hi", "kr", "f")
-    )
+    strings = found.join(shared, "kr", "left_semi").select("s", F.lit(0).alias("r"), "i", "a", "p", "cover", "lo", "hi", "kr", "f")
+    # Copies of a text bring the same rows; they are combined before the rows of a text meet in one task.
+    strings = stored_table(strings.dropDuplicates(["s", "i"]))
     near = sort_suffixes(strings)
     kinds = stored_table(
         near.groupBy("kr", "f").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("s", "p", "lo", "hi")).alias("one"))

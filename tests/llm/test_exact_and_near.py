@@ -217,6 +217,18 @@ def test_repeats_deep_recursion(docs):
     assert [got[k] for k in range(len(texts))] == brute_removed(texts)
 
 
+def test_repeats_copies_meet_once(docs, monkeypatch):
+    """However many copies a text has, each of its anchors reaches the suffix array once."""
+    seen, sort = [], suffix_dedup.sort_suffixes
+    monkeypatch.setattr(suffix_dedup, "sort_suffixes", lambda strings: seen.append(strings) or sort(strings))
+    a = prose(200, 21)
+    texts = [a] * 30 + [a[:700] + prose(100, 22)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(docs(*texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == brute_removed(texts)
+    [strings] = seen
+    assert strings.count() == strings.select("s", "i").distinct().count() > 0
+
+
 def test_repeats_odd(odd_docs, no_docs):
     rows = suffix_dedup.remove_repeats(odd_docs).collect()
     assert len(rows) == odd_docs.count() and suffix_dedup.remove_repeats(no_docs).count() == 0
