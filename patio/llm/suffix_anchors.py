@@ -18,6 +18,7 @@ RIGHT = LONG - WINDOW + 1
 
 _RANDOM = np.random.default_rng(41)
 _BYTE = _RANDOM.integers(1, 1 << 63, (2, 256), dtype=np.uint64) | np.uint64(1)
+_WORD = _RANDOM.integers(1, 1 << 63, 2, dtype=np.uint64)
 _FACTORS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _powers: dict[int, np.ndarray] = {}
 
@@ -37,13 +38,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Hasher:
-    """Hashes of any stretches of a batch of bytes, from sums over all of it."""
+    """Hashes of any stretches of a batch of bytes or of 64-bit numbers, from sums over all of it."""
 
     def __init__(self, data: np.ndarray, kind: int):
         factor = _FACTORS[kind]
+        value = _BYTE[kind][data] if data.dtype == np.uint8 else mixed(data + _WORD[kind])
         self.back = _power(pow(factor, -1, 1 << 64), len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[kind][data] * _power(factor, len(data)), out=self.sums[1:])
+        np.cumsum(value * _power(factor, len(data)), out=self.sums[1:])
 
     def raw(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[start]) * self.back[start]
@@ -52,26 +54,27 @@ class Hasher:
         return mixed(self.raw(start, end) + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
-def anchors(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+def anchors(data: np.ndarray, at: np.ndarray, long: int = LONG, window: int = WINDOW, gram: int = GRAM) -> dict[str, np.ndarray]:
     """Columns of the anchors of all rows: row, number in the row, place, first and last start of
     its stretches (all places count from the row's first byte), a (its letter, positive), cover
     (bytes of its phrase), kr (its key) and f (hash of all bytes of its stretches, and where the
-    anchor is among them)."""
+    anchor is among them). Other stretches and windows may be given, and 64-bit numbers as bytes."""
+    right = long - window + 1
     names = ("row", "i", "p", "cover", "lo", "hi", "a", "kr", "f")
     size = np.diff(at)
-    rows = np.flatnonzero(size >= LONG)
+    rows = np.flatnonzero(size >= long)
     if not len(rows):
         return {n: np.zeros(0, np.int64) for n in names}
     first, second = Hasher(data, 0), Hasher(data, 1)
-    every = np.arange(len(data) - GRAM + 1)
-    gram = mixed(first.raw(every, every + GRAM)) >> np.uint64(32)
-    least = (gram << np.uint64(32)) | every.astype(np.uint64)
+    every = np.arange(len(data) - gram + 1)
+    picked = mixed(first.raw(every, every + gram)) >> np.uint64(32)
+    least = (picked << np.uint64(32)) | every.astype(np.uint64)
     wide = 1
-    while wide < WINDOW:  # minima over windows of wide places, doubled
-        step = min(wide, WINDOW - wide)
+    while wide < window:  # minima over windows of wide places, doubled
+        step = min(wide, window - wide)
         least = np.minimum(least[:-step], least[step:])
         wide += step
-    count = size[rows] - LONG + 1
+    count = size[rows] - long + 1
     start = np.arange(count.sum()) + np.repeat(at[rows] - (np.cumsum(count) - count), count)
     owner = np.repeat(rows, count)
     place = (least[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -83,9 +86,9 @@ def anchors(data: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
     inside = mixed((p - lo).astype(np.uint64) * np.uint64(1 << 20) + (hi - lo).astype(np.uint64))
     base = at[row]
     last = np.append(row[1:] != row[:-1], True)
-    stop = np.where(last, p + RIGHT, np.append(p[1:], 0) + GRAM)
+    stop = np.where(last, p + right, np.append(p[1:], 0) + gram)
     return {
         "row": row, "i": number, "p": p - base, "cover": stop - p, "lo": lo - base, "hi": hi - base,
-        "a": (first(p, stop) >> np.uint64(2)).astype(np.int64) + 1, "kr": first(p, p + RIGHT).view(np.int64),
-        "f": (second(lo, hi + LONG) ^ inside).view(np.int64),
+        "a": (first(p, stop) >> np.uint64(2)).astype(np.int64) + 1, "kr": first(p, p + right).view(np.int64),
+        "f": (second(lo, hi + long) ^ inside).view(np.int64),
     }

@@ -20,6 +20,9 @@ bitmap of BITS bits, whatever the size of the data, tells most others.
 A key with more than CROWDED kinds of surroundings does not meet in one task: its stretches are
 counted as rows of their own, combined before the shuffle.
 
+`n_shared` is a further count and removes nothing: places of the text at which 51 words begin that
+stand in another document, too (shared_words). Such passages are mostly shorter than LONG bytes.
+
 Defined cases: null text counts as empty; texts shorter than LONG are kept. Repeated rows count
 as different documents with equal texts. Null ids are carried. Other columns are not read. An
 empty table gives an empty result.
@@ -36,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patio.llm.common import BITS, columns_of, id_text, in_pieces, marked, stored, stored_table, utf8
+from patio.llm.shared_words import LEAST, WORDS, shared_places
 from patio.llm.suffix_anchors import LONG, Hasher, anchors, mixed
 from patio.llm.suffix_array import sort_suffixes
 from patio.llm.words import spans as ranges
@@ -45,7 +49,7 @@ BATCH_BYTES = 1 << 20
 #: Kinds of surroundings of one key that one task compares, at most.
 CROWDED = 4096
 
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_shared long"
 
 
 def _anchored(batches):
@@ -159,19 +163,20 @@ def _joined(batches):
 
 def _removed(batches):
     for batch in batches:
-        columns = (batch.column(n).to_pylist() for n in ("doc_id", "text", "starts", "ends"))
+        columns = (batch.column(n).to_pylist() for n in ("doc_id", "text", "starts", "ends", "shared", "copied"))
         out = []
-        for doc_id, text, starts, ends in zip(*columns, strict=True):
+        for doc_id, text, starts, ends, shared, copied in zip(*columns, strict=True):
             raw, at, kept = text.encode(), 0, hashlib.sha256()
             for x, y in zip(starts or (), ends or (), strict=True):
                 kept.update(raw[at:x])
                 at = y
             kept.update(raw[at:])
             gone = sum(ends or ()) - sum(starts or ())
-            out.append((doc_id, len(raw), gone, len(starts or ()), kept.hexdigest()))
-        kinds = [pa.int64()] * 4 + [pa.string()]
-        arrays = [pa.array(list(c), t) for c, t in zip(list(zip(*out, strict=True)) or [[]] * 5, kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            places = max(0, len(raw.split()) - WORDS + 1) if copied else shared or 0
+            out.append((doc_id, len(raw), gone, len(starts or ()), kept.hexdigest(), places))
+        kinds = [pa.int64()] * 4 + [pa.string(), pa.int64()]
+        arrays = [pa.array(list(c), t) for c, t in zip(list(zip(*out, strict=True)) or [[]] * 6, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_shared"])
 
 
 def _name(text: Column, turn: int) -> Column:
@@ -179,12 +184,12 @@ def _name(text: Column, turn: int) -> Column:
 
 
 def named_texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, text, n, s), where s is one number for each text of LONG bytes or more, and
+    """Rows (doc_id, text, n, s), where s is one number for each text of LEAST bytes or more, and
     the distinct texts of that length (s, n, k rows)."""
     rows = id_text(docs).withColumn("n", F.octet_length("text")).withColumn("s", _name(F.col("text"), 0))
     for turn in count(1):
         digest = F.unhex(F.sha2(F.encode("text", "UTF-8"), 256))
-        long = rows.where(F.col("n") >= LONG).select("s", "n", digest.alias("d"))
+        long = rows.where(F.col("n") >= LEAST).select("s", "n", digest.alias("d"))
         texts = stored_table(long.groupBy("d").agg(F.count(F.lit(1)).alias("k"), F.min("s").alias("s"), F.min("n").alias("n")).drop("d"))
         clashes = stored(texts.groupBy("s").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("s"))
         if clashes.isEmpty():
@@ -241,22 +246,25 @@ def repeated_spans(rows: DataFrame, texts: DataFrame) -> DataFrame:
     )
     # What neighbours in the suffix array share over LONG bytes and more.
     sure = near.where(F.col("shared") >= LONG).select("s", F.col("p").alias("x"), (F.col("p") + F.col("shared")).alias("y"))
-    copied = texts.where("k > 1").select("s", F.lit(0).alias("x"), F.col("n").cast("int").alias("y"))
+    copied = texts.where((F.col("k") > 1) & (F.col("n") >= LONG)).select("s", F.lit(0).alias("x"), F.col("n").cast("int").alias("y"))
     every = inside.unionByName(sure).unionByName(copied)
     return stored(every.repartition("s").mapInArrow(_joined, "s long, starts array<long>, ends array<long>"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared of every row."""
     named, texts = named_texts(docs)
     spans = repeated_spans(named, texts)
+    shared = shared_places(named.where(F.col("n") >= LEAST))
+    copied = texts.where("k > 1").select("s", F.lit(True).alias("copied"))
+    found = stored(spans.join(shared, "s", "full").join(copied, "s", "full"))
     # A short text may have the number of a long one.
-    rows = marked(named, spans.select("s")).withColumn("maybe", F.col("maybe") & (F.col("n") >= LONG))
-    touched = rows.where("maybe").select("doc_id", "text", "s").join(spans, "s", "left")
-    changed = touched.select("doc_id", "text", "starts", "ends").mapInArrow(_removed, RESULT)
+    rows = marked(named, found.select("s")).withColumn("maybe", F.col("maybe") & (F.col("n") >= LEAST))
+    touched = rows.where("maybe").select("doc_id", "text", "s").join(found, "s", "left")
+    changed = touched.select("doc_id", "text", "starts", "ends", "shared", "copied").mapInArrow(_removed, RESULT)
     zero = F.lit(0).cast("long")
     same = rows.where("not maybe").select(
         "doc_id", F.col("n").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
-        F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"), zero.alias("n_shared"),
     )
     return changed.unionByName(same)

@@ -229,6 +229,39 @@ def test_repeats_copies_meet_once(docs, monkeypatch):
     assert strings.count() == strings.select("s", "i").distinct().count() > 0
 
 
+def brute_shared(texts):
+    words = [(t or "").encode().split() for t in texts]
+    found = [[b" ".join(w[i : i + 51]) for i in range(len(w) - 50)] for w in words]
+    where = Counter(p for each in found for p in set(each))
+    return [sum(where[p] > 1 for p in each) for each in found]
+
+
+def test_shared_words_brute(docs):
+    """Passages of over 50 words, shorter than 400 bytes: nothing is removed, but they are counted."""
+    a, b, c = (prose(n, seed).split() for n, seed in ((300, 31), (400, 32), (60, 33)))
+    small = [f"{x:x}" for x in range(16, 76)]  # 51 words are 152 bytes
+    join, near = " ".join, b[:180] + ["other"] + b[181:]
+    texts = [
+        join(a), join(prose(90, 34).split() + a[100:151]), join(prose(90, 35).split() + a[200:250]), "\n".join(a[20:75]) + "\t \x0bé",
+        join(small), join(c + small[3:54] + c), join(small[:50]), join(c[:51]), join(c[:51]), join(c[:50]), join(c[:50]),
+        join(b), join(near), join(b[:90] + near[60:]), join(b + b[100:200]), join(prose(70, 36).split() * 3), "na " * 200, "na " * 49 + "no " + "na " * 60,
+        None, "", "a " * 51, "a " * 52, "a " * 50,
+    ]
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(docs(*texts)).collect()}
+    assert [got[k].n_shared for k in range(len(texts))] == brute_shared(texts)
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in map(got.get, range(len(texts)))] == brute_removed(texts)
+    assert got[1].n_removed == got[4].n_removed == 0 < got[1].n_shared
+
+
+def test_shared_words_near_copies(docs):
+    """Many copies with edits, exact copies among them, and a passage that all share."""
+    base, common = prose(200, 41).split(), prose(51, 42).split()
+    texts = [" ".join(base[: 9 * k] + [f"[{k}]"] + base[9 * k :] + common) for k in range(20)] + [" ".join(prose(30 + k, k).split() + common) for k in range(30)]
+    texts += [texts[3], texts[3], texts[25], " ".join(common[:50])]
+    got = {r.doc_id: r.n_shared for r in suffix_dedup.remove_repeats(docs(*texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == brute_shared(texts)
+
+
 def test_repeats_odd(odd_docs, no_docs):
     rows = suffix_dedup.remove_repeats(odd_docs).collect()
     assert len(rows) == odd_docs.count() and suffix_dedup.remove_repeats(no_docs).count() == 0
