@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 from collections import Counter
 from decimal import Decimal
 
@@ -389,6 +390,24 @@ def test_lines_are_the_same_beyond_the_limits(spark, raw, groups, table, monkeyp
     assert lists.count() > 1 if limit == "OFFERS_A_LIST" else lists.count() == 1
 
 
+def test_tasks_follow_the_lines(spark, raw, groups, table, monkeypatch):
+    """Three units, two months and seven providers are 6 pairs with 7 lines each."""
+
+    def dealt_to(result):
+        plan = result.details._jdf.queryExecution().optimizedPlan().toString()
+        return [int(n) for n in re.findall(r"RepartitionByExpression \[idUF.*\], (\d+)", plan)]
+
+    few = _many_charges(spark, raw, groups, table)[0]
+    monkeypatch.setattr(imports, "LINES_A_TASK", 5, raising=False)
+    many = _many_charges(spark, raw, groups, table)[0]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert dealt_to(few) == [tasks] and dealt_to(many)[0] > tasks
+    work = 3 * 2 * (7 + imports.LINES_A_PAIR)
+    assert dealt_to(many) == [tasks * -(-work // (5 * tasks))]
+    lines = [Counter(tuple(r) for r in result.details.collect()) for result in (few, many)]
+    assert lines[0] == lines[1] and lines[0].total() == 35
+
+
 def test_shares_stay_near_the_building_total(spark, table, offers):
     providers, mapping = offers
     n = 61
